@@ -1,0 +1,6 @@
+"""Registered queries."""
+
+from . import geometry, rollups, series, streams, texts  # noqa: F401
+from .catalog import CATALOG
+
+__all__ = ["CATALOG"]
