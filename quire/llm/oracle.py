@@ -2,6 +2,40 @@
 
 from __future__ import annotations
 
+from .line_dedup import MIN_CHARS
+from .queries import URL_RULES
+from .substring_dedup import WINDOW
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+OP1 = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs),
+keyed AS (SELECT *, translate(trim(line, {_BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+firsts AS (SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= {MIN_CHARS} GROUP BY k),
+judged AS (SELECT doc_id, pos, line, length(keyed.k) >= {MIN_CHARS} AND first < doc_id AS gone FROM keyed LEFT JOIN firsts USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (gone IS NOT TRUE), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+OP3 = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + {WINDOW - 1}], ' ')) AS w FROM docs, unnest(range(1, len(ws) - {WINDOW - 2})) AS g(i)),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+late AS (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS pos FROM late),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM docs),
+kept AS (SELECT words.doc_id, count(*) AS n, sha256(string_agg(word, ' ' ORDER BY words.pos)) AS h FROM words ANTI JOIN covered ON covered.doc_id = words.doc_id AND covered.pos = words.pos GROUP BY 1)
+SELECT docs.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, coalesce(h, sha256('')) AS kept_sha256 FROM docs LEFT JOIN kept USING (doc_id)"""
+
+OP6 = f"""
+WITH rules(rh, rp, verdict) AS (VALUES {_RULES}),
+cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut),
+best AS (SELECT page_id, max_by(rh || rp, length(rh || rp)) AS rule, max_by(verdict, length(rh || rp)) AS verdict FROM parts JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY 1)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": OP1, "op3_substring_dedup": OP3, "op6_url_filter": OP6}

@@ -126,7 +126,7 @@ def _counts(rows: list[tuple[dict, bool]]) -> tuple[int, int]:
 
 def _grow(rows: list[tuple[dict, bool]]) -> list[Condition]:
     chosen: list[Condition] = []
-    while len(chosen) < MAX_CONDITIONS:
+    for _ in range(MAX_CONDITIONS):
         p, n = _counts(rows)
         if not p or not n:
             break
@@ -143,7 +143,7 @@ def _grow(rows: list[tuple[dict, bool]]) -> list[Condition]:
                         best, gain = Condition(name, above, cut), g
         if best is None:
             break
-        chosen.append(best)
+        chosen = [c for c in chosen if (c.feature, c.above) != (best.feature, best.above)] + [best]  # the new cut is the tighter
         rows = [x for x in rows if best.holds(x[0])]
     return chosen
 
