@@ -20,10 +20,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that a document with a smaller id holds; ``n_chars`` follows the text."""
     kept = line_dedup.dedup_lines(docs, carry=tuple(c for c in docs.columns if c not in ("doc_id", "text")))
-    kept = kept.withColumn("text", F.col("kept_text"))
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    text = F.col("kept_text")
+    new = {"doc_id": F.col("doc_id"), "text": text, "n_chars": F.char_length(text).cast("bigint")}
+    return kept.select(*(new.get(c, F.col("carried")[c]).alias(c) for c in docs.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,8 +113,8 @@ def dedup_lines(
 
     A line whose key has ``min_chars`` code points or more and occurs in a document with a smaller id is
     dropped.  A NULL or empty text is one empty line.  Repeats inside one document and in rows with the
-    same id stay.  Rows with a NULL id neither give nor lose lines.  Columns named in ``carry`` come along,
-    others are ignored.
+    same id stay.  Rows with a NULL id neither give nor lose lines.  Columns named in ``carry`` come along in
+    the struct ``carried``, where their names can't clash; others are ignored.
     """
     spark = docs.sparkSession
     lines = stored(hashed_lines(docs, id_col, text_col, min_chars), "line-hashes")
@@ -123,8 +123,9 @@ def dedup_lines(
         lines.join(runs.hint("merge"), ["lo", "hi"]).where("doc_id > first")
         .groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("lo", "hi")).alias("_late"))
     )
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *carry)
-    rows = rows.join(late, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "_late", *carry)
+    more = ["carried"] if carry else []
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *(F.struct(*carry).alias(c) for c in more))
+    rows = rows.join(late, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "_late", *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,6 +138,6 @@ def dedup_lines(
                 for column, value in zip(out, (len(lines), len(lines) - len(left), kept.decode("utf-8", "replace"), hashlib.sha256(kept).hexdigest()), strict=True):
                     column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True)), *batch.columns[3:]], [*_RESULT.names, *carry])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True)), *batch.columns[3:]], [*_RESULT.names, *more])
 
-    return rows.mapInArrow(run, StructType([*_RESULT.fields, *(rows.schema[c] for c in carry)]))
+    return rows.mapInArrow(run, StructType([*_RESULT.fields, *(rows.schema[c] for c in more)]))

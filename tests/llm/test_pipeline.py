@@ -33,3 +33,26 @@ def test_pipeline(spark, sf):
             assert len(after) > 0.8 * len(before)
         docs = spark.createDataFrame([tuple(r) for r in after.values()], got.schema)
     assert docs.count() > 0
+
+
+def test_stages_on_odd_rows(spark, sf, odd_docs, no_docs):
+    import corpus_pipeline
+
+    for docs in (odd_docs.withColumnRenamed("chunk", "kept_text"), no_docs):
+        rows = docs.count()
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            got = stage(spark, docs, sf)
+            assert got.columns == docs.columns and got.count() <= rows
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == rows
+
+
+def test_entry_without_the_subpackage(tmp_path):
+    import shutil
+    import subprocess
+
+    root = Path(__file__).parents[2]
+    for name in ("__spark_entry__.py", "quire"):
+        (shutil.copytree if (root / name).is_dir() else shutil.copy)(root / name, tmp_path / name)
+    shutil.rmtree(tmp_path / "quire/llm")
+    code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') or n == 'pipeline' for n in q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
