@@ -31,9 +31,16 @@ def _windows(text: str | None, width: int) -> np.ndarray:
 
 
 def _chunk_hashes(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The windows of each row (none without an id), and the chunk's distinct hashes in order."""
+    """The windows of each row (none without an id), and all of the chunk's together."""
     each = [_windows(t.as_py(), width) if i.is_valid else np.zeros(0, np.uint64) for i, t in zip(table.column("doc_id"), table.column("text"), strict=True)]
-    return each, np.unique(np.concatenate(each)) if each else np.zeros(0, np.uint64)
+    return each, np.concatenate(each) if each else np.zeros(0, np.uint64)
+
+
+def _distinct(ranked: np.ndarray) -> np.ndarray:
+    """Which values of a sorted array differ from their predecessor."""
+    new = np.ones(len(ranked), dtype=bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    return new
 
 
 def _pack(keys: np.ndarray) -> tuple[bool, bytes]:
@@ -91,7 +98,8 @@ def remove_repeats(
 
     def pack(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
-        keys = _chunk_hashes(table, window)[1]
+        ranked = np.sort(_chunk_hashes(table, window)[1])
+        keys = ranked[_distinct(ranked)]
         at = _cuts(keys, buckets)
         out = [(b, chunk, at[b + 1] - at[b], *_pack(keys[at[b] : at[b + 1]])) for b in range(buckets) if at[b + 1] > at[b]]
         return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [[]] * 5, (pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()), strict=True)], ["bucket", "chunk", "n", "wide", "keys"])
@@ -102,21 +110,25 @@ def remove_repeats(
         keys = np.concatenate([_unpack(*x) for x in zip(size, wide, blobs, strict=True)])
         order = np.argsort(keys, kind="stable")
         again = np.zeros(len(keys), dtype=bool)
-        ranked = keys[order]
-        again[order[1:]] = ranked[1:] == ranked[:-1]
+        again[order] = ~_distinct(keys[order])
         at = np.cumsum([0, *size])
         out = [(c, bucket[0], n, np.packbits(again[a : a + n]).tobytes()) for c, n, a in zip(chunk, size, at, strict=False) if again[a : a + n].any()]
         return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["chunk", "bucket", "n", "bits"])
 
     def remove(table: pa.Table, flags: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id")
-        each, keys = _chunk_hashes(table, window)
+        each, hashed = _chunk_hashes(table, window)
+        order = np.argsort(hashed)
+        ranked = hashed[order]
+        new = _distinct(ranked)
+        keys, slot = ranked[new], np.empty(len(hashed), dtype=np.int64)
+        slot[order] = np.cumsum(new) - 1
+        slots = np.split(slot, np.cumsum([len(h) for h in each])[:-1])
         early, at = np.zeros(len(keys), dtype=bool), _cuts(keys, buckets)
         for b, n, bits in zip(*(flags.column(c).to_pylist() for c in ("bucket", "n", "bits")), strict=True):
             early[at[b] : at[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-        ids = table.column("doc_id").to_numpy()
+        ids = table.column("doc_id").fill_null(0).to_numpy()  # rows without an id have no windows
         owner = np.full(len(keys), -1, dtype=np.int64)  # the row of the first document here with the hash
-        slots = [np.searchsorted(keys, h) for h in each]
         for row in range(len(slots) - 1, -1, -1):
             owner[slots[row]] = row
         out: list[list] = [[], [], [], [], []]
@@ -125,11 +137,10 @@ def remove_repeats(
             buf = np.frombuffer(raw, dtype=np.uint8)
             starts, ends = word_bounds(buf)
             hit = early[slot] | (ids[owner[slot]] < ids[row]) if len(slot) else np.zeros(0, bool)
-            step = np.zeros(len(starts) + 1, dtype=np.int64)
-            where = np.flatnonzero(hit)
-            np.add.at(step, where, 1)
-            np.add.at(step, where + window, -1)
-            gone = np.cumsum(step[:-1]) > 0
+            step = np.zeros(len(starts) + 1, dtype=np.int8)
+            step[: len(hit)] += hit
+            step[window : window + len(hit)] -= hit
+            gone = np.cumsum(step[:-1], dtype=np.int64) > 0
             edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
             spans = [{"start": int(a), "end": int(b)} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
             left = raw.split()
