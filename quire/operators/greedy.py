@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 _BOX = ["l", "t", "r", "b"]
 
 
-def _per_page(df: DataFrame, page: str, f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _whole_pages(df: DataFrame, page: str, f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Apply ``f`` to frames that hold many pages, each of them complete."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for batch in batches:
             keys = batch[page].to_numpy()
@@ -27,16 +28,31 @@ def _per_page(df: DataFrame, page: str, f: Callable[[pd.DataFrame], pd.DataFrame
                 yield f(pd.concat(held, ignore_index=True))
                 held = []
             if len(cuts):
-                parts = [batch.iloc[a:b].reset_index(drop=True) for a, b in zip([0, *cuts[:-1]], cuts, strict=True)]
-                parts[0] = pd.concat([*held, parts[0]], ignore_index=True)
-                yield pd.concat([f(g) for g in parts], ignore_index=True)
+                yield f(pd.concat([*held, batch.iloc[: cuts[-1]]], ignore_index=True))
                 held = [batch.iloc[cuts[-1] :]]
             else:
                 held.append(batch)
         if held:
             yield f(pd.concat(held, ignore_index=True))
 
-    return df.where(df[page].isNotNull()).repartition(page).sortWithinPartitions(page).mapInPandas(pages, schema)
+    return df.where(df[page].isNotNull()).repartition(page).sortWithinPartitions(page).mapInPandas(run, schema)
+
+
+def _sorted(g: pd.DataFrame, page: str, *order: np.ndarray) -> tuple[pd.DataFrame, list[slice]]:
+    """The frame sorted by page, then by the given keys, and where each page lies in it."""
+    g = g.iloc[np.lexsort((*reversed(order), g[page].to_numpy()))].reset_index(drop=True)
+    keys = g[page].to_numpy()
+    cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+    return g, [slice(x, y) for x, y in zip(cuts, cuts[1:], strict=False) if y > x]
+
+
+def _per_page(df: DataFrame, page: str, f: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Apply ``f`` to the frame of each page."""
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g, pages = _sorted(g, page)
+        return pd.concat([f(g.iloc[at].reset_index(drop=True)) for at in pages], ignore_index=True)
+
+    return _whole_pages(df, page, run, schema)
 
 
 def _area(b: np.ndarray) -> np.ndarray:
@@ -52,117 +68,120 @@ def _meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def drop_contained(boxes: DataFrame, page: str, key: str, share: float = 0.8) -> DataFrame:
     """Largest first, keep a box unless more than ``share`` of it lies in one kept before."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
+        g, pages = _sorted(g, page, -_area(g[_BOX].to_numpy(float)), g[key].to_numpy())
         b = g[_BOX].to_numpy(float)
-        g, kept = g.assign(_a=_area(b)).sort_values(["_a", key], ascending=[False, True]).drop(columns="_a"), []
-        b = g[_BOX].to_numpy(float)
-        for i in range(len(b)):
-            size = _area(b[i])
-            if not any(size > 0 and _meet(b[i], b[k]) > share * size for k in kept):
-                kept.append(i)
-        return g.iloc[kept]
+        size, stays = _area(b), np.ones(len(b), dtype=bool)
+        for at in pages:
+            for i in range(at.start + 1, at.stop):
+                before = slice(at.start, i)
+                stays[i] = size[i] <= 0 or not (stays[before] & (_meet(b[i], b[before]) > share * size[i])).any()
+        return g[stays]
 
-    return _per_page(boxes, page, run, boxes.schema)
+    return _whole_pages(boxes, page, run, boxes.schema)
 
 
 def suppress(boxes: DataFrame, page: str, key: str, score: str, iou: float = 0.3) -> DataFrame:
     """Non-maximum suppression: best score first, keep a box unless its IoU with a kept one exceeds ``iou``."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values([score, key], ascending=[False, True])
-        b, kept = g[_BOX].to_numpy(float), []
-        for i in range(len(b)):
-            ok = True
-            for k in kept:
-                both = _meet(b[i], b[k])
-                union = _area(b[i]) + _area(b[k]) - both
-                if union > 0 and both / union > iou:
-                    ok = False
-                    break
-            if ok:
-                kept.append(i)
-        return g.iloc[kept]
+        g, pages = _sorted(g, page, -g[score].to_numpy(), g[key].to_numpy())
+        b = g[_BOX].to_numpy(float)
+        size, stays = _area(b), np.ones(len(b), dtype=bool)
+        for at in pages:
+            for i in range(at.start + 1, at.stop):
+                before = slice(at.start, i)
+                both = _meet(b[i], b[before])
+                stays[i] = not (stays[before] & (both > iou * (size[i] + size[before] - both)) & (both > 0)).any()
+        return g[stays]
 
-    return _per_page(boxes, page, run, boxes.schema)
+    return _whole_pages(boxes, page, run, boxes.schema)
 
 
 def absorb(boxes: DataFrame, page: str, key: str, tolerance: float = 0.5) -> DataFrame:
     """Give each box contained in a larger one that one's key as ``into``; NULL for survivors."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(key).reset_index(drop=True)
-        b = g[_BOX].to_numpy(float)
-        order = sorted(range(len(b)), key=lambda i: (-_area(b[i]), g[key][i]))
-        into: list = [None] * len(b)
-        for n, i in enumerate(order):
-            for k in order[:n]:
-                if into[k] is None and (b[i][:2] >= b[k][:2] - tolerance).all() and (b[i][2:] <= b[k][2:] + tolerance).all():
-                    into[i] = int(g[key][k])
-                    break
-        return g.assign(into=pd.array(into, dtype="Int64"))
+        g, pages = _sorted(g, page, -_area(g[_BOX].to_numpy(float)), g[key].to_numpy())
+        b, keys, into = g[_BOX].to_numpy(float), g[key].to_numpy(), np.full(len(g), -1)
+        for at in pages:
+            for i in range(at.start + 1, at.stop):
+                before = slice(at.start, i)
+                holds = (b[i, :2] >= b[before, :2] - tolerance).all(1) & (b[i, 2:] <= b[before, 2:] + tolerance).all(1) & (into[before] < 0)
+                if holds.any():
+                    into[i] = at.start + holds.argmax()
+        return g.assign(into=pd.array(np.where(into >= 0, keys[into], 0), dtype="Int64")).assign(into=lambda x: x["into"].mask(into < 0))
 
-    return _per_page(boxes, page, run, f"{_ddl(boxes)}, into bigint")
+    return _whole_pages(boxes, page, run, f"{_ddl(boxes)}, into bigint")
 
 
 def clip_overlaps(boxes: DataFrame, page: str, key: str) -> DataFrame:
     """From the top down, end each box where the next one that shares its width begins."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["t", "l", key]).reset_index(drop=True)
+        g, pages = _sorted(g, page, g["t"].to_numpy(), g["l"].to_numpy(), g[key].to_numpy())
         b = g[_BOX].to_numpy(float)
-        for i in range(len(b)):
-            for k in range(i + 1, len(b)):
-                if b[k][1] > b[i][1] and b[k][1] < b[i][3] and min(b[i][2], b[k][2]) > max(b[i][0], b[k][0]):
-                    b[i][3] = b[k][1]
-                    break
-        g[_BOX] = b
-        return g
+        for at in pages:
+            for i in range(at.start, at.stop - 1):
+                below = b[i + 1 : at.stop]
+                cuts = (below[:, 1] > b[i, 1]) & (below[:, 1] < b[i, 3]) & (np.minimum(b[i, 2], below[:, 2]) > np.maximum(b[i, 0], below[:, 0]))
+                if cuts.any():
+                    b[i, 3] = below[cuts.argmax(), 1]
+        return g.assign(b=b[:, 3])
 
-    return _per_page(boxes, page, run, boxes.schema)
+    return _whole_pages(boxes, page, run, boxes.schema)
 
 
 def merge_fragments(rules: DataFrame, page: str, key: str, across: float = 0.5, along: float = 2.0) -> DataFrame:
     """Join horizontal rules that lie on one line with gaps of at most ``along``: ``key`` of the first, extents, count."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for r in g.sort_values(["l", "t", key]).itertuples(index=False):
-            for m in out:
-                if abs(m[2] - r.t) <= across and r.l <= m[3] + along:
-                    m[3], m[4], m[5] = max(m[3], r.r), max(m[4], r.b), m[5] + 1
-                    break
-            else:
-                out.append([getattr(r, key), r.l, r.t, r.r, r.b, 1])
-        return pd.DataFrame([[g[page].iloc[0], *m] for m in out], columns=[page, key, *_BOX, "n"])
+        g, pages = _sorted(g, page, g["l"].to_numpy(), g["t"].to_numpy(), g[key].to_numpy())
+        b, keys, names, out = g[_BOX].to_numpy(float), g[key].to_numpy(), g[page].to_numpy(), []
+        for at in pages:
+            made: list[list] = []
+            for i in range(at.start, at.stop):
+                left, top, right, bottom = b[i].tolist()
+                for m in made:
+                    if abs(m[3] - top) <= across and left <= m[4] + along:
+                        m[4], m[5], m[6] = max(m[4], right), max(m[5], bottom), m[6] + 1
+                        break
+                else:
+                    made.append([names[i], keys[i], left, top, right, bottom, 1])
+            out += made
+        return pd.DataFrame(out, columns=[page, key, *_BOX, "n"])
 
     kinds = dict(rules.dtypes)
-    return _per_page(rules, page, run, f"{page} {kinds[page]}, {key} {kinds[key]}, l double, t double, r double, b double, n bigint")
+    return _whole_pages(rules, page, run, f"{page} {kinds[page]}, {key} {kinds[key]}, l double, t double, r double, b double, n bigint")
 
 
 def resolve_crossings(boxes: DataFrame, page: str, key: str, score: str) -> DataFrame:
     """While boxes cross (meet without containment), drop the one with most crossings, lowest score, smallest area, highest key."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(key).reset_index(drop=True)
-        b = g[_BOX].to_numpy(float)
-        alive = np.ones(len(b), dtype=bool)
-        inside = (b[:, None, :2] >= b[None, :, :2]).all(2) & (b[:, None, 2:] <= b[None, :, 2:]).all(2)
-        cross = (_meet(b[:, None], b[None]) > 0) & ~inside & ~inside.T
-        np.fill_diagonal(cross, False)
-        while (n := (cross & alive[None]).sum(1) * alive).max(initial=0) > 0:
-            worst = min(np.flatnonzero(n == n.max()), key=lambda i: (g[score][i], _area(b[i]), -g[key][i]))
-            alive[worst] = False
+        g, pages = _sorted(g, page, g[key].to_numpy())
+        b, scores, alive = g[_BOX].to_numpy(float), g[score].to_numpy(), np.ones(len(g), dtype=bool)
+        size = _area(b)
+        for at in pages:
+            x, live = b[at], alive[at]
+            inside = (x[:, None, :2] >= x[None, :, :2]).all(2) & (x[:, None, 2:] <= x[None, :, 2:]).all(2)
+            cross = (_meet(x[:, None], x[None]) > 0) & ~inside & ~inside.T
+            while (n := (cross & live[None]).sum(1) * live).max(initial=0) > 0:
+                live[min(np.flatnonzero(n == n.max()), key=lambda i: (scores[at][i], size[at][i], -i))] = False
         return g[alive]
 
-    return _per_page(boxes, page, run, boxes.schema)
+    return _whole_pages(boxes, page, run, boxes.schema)
 
 
 def seed_groups(boxes: DataFrame, page: str, key: str, gap: float = 3.0) -> DataFrame:
     """Assign boxes from left to right to the first group whose seed's left edge is within ``gap``: ``group``."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g, seeds, out = g.sort_values(["l", key]), [], []
-        for x in g["l"]:
-            k = next((i for i, s in enumerate(seeds) if abs(s - x) <= gap), len(seeds))
-            if k == len(seeds):
-                seeds.append(x)
-            out.append(k)
+        g, pages = _sorted(g, page, g["l"].to_numpy(), g[key].to_numpy())
+        xs, out = g["l"].tolist(), []
+        for at in pages:
+            seeds: list[float] = []
+            for x in xs[at]:
+                k = next((i for i, s in enumerate(seeds) if abs(s - x) <= gap), len(seeds))
+                if k == len(seeds):
+                    seeds.append(x)
+                out.append(k)
         return g.assign(group=out)
 
-    return _per_page(boxes, page, run, f"{_ddl(boxes)}, group bigint")
+    return _whole_pages(boxes, page, run, f"{_ddl(boxes)}, group bigint")
 
 
 def union_outline(rects: np.ndarray) -> list[list[float]] | None:
@@ -198,51 +217,62 @@ def union_outline(rects: np.ndarray) -> list[list[float]] | None:
 def outlines(boxes: DataFrame, item: str) -> DataFrame:
     """Per item the outline of its boxes' union and why there is none (``parts``: separate, touching at a corner, or a hole)."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        b = g[_BOX].to_numpy(float)
-        shape = union_outline(b[(b[:, 2] > b[:, 0]) & (b[:, 3] > b[:, 1])]) if len(b) else None
-        return pd.DataFrame({item: [g[item].iloc[0]], "polygon": [shape], "reason": [None if shape else "parts"]})
+        g, pages = _sorted(g, item)
+        b, names, out = g[_BOX].to_numpy(float), g[item].to_numpy(), []
+        for at in pages:
+            x = b[at]
+            x = x[(x[:, 2] > x[:, 0]) & (x[:, 3] > x[:, 1])]
+            shape = union_outline(x) if len(x) else None
+            out.append([names[at.start], shape, None if shape else "parts"])
+        return pd.DataFrame(out, columns=[item, "polygon", "reason"])
 
-    return _per_page(boxes, item, run, f"{item} {dict(boxes.dtypes)[item]}, polygon array<array<double>>, reason string")
+    return _whole_pages(boxes, item, run, f"{item} {dict(boxes.dtypes)[item]}, polygon array<array<double>>, reason string")
 
 
 def lattice(edges: DataFrame, page: str, value: str, pitches: tuple[float, float, float] = (8.0, 20.0, 0.25), tolerance: float = 0.6) -> DataFrame:
     """Fit evenly spaced columns: the pitch and offset whose lines most edges meet, chance agreement deducted."""
     grid = np.arange(*pitches)
 
+    offsets = [np.arange(0, pitch, 0.25) for pitch in grid]
+    pitch_of, offset_of = np.repeat(grid, [len(o) for o in offsets]), np.concatenate(offsets)
+    chance = np.minimum(1.0, 2 * tolerance / pitch_of)
+
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        x, best = np.sort(g[value].to_numpy(float)), (-1.0, 0.0, 0.0)
-        for pitch in grid:
-            offsets = np.arange(0, pitch, 0.25)
-            d = np.abs((x[None] - offsets[:, None] + pitch / 2) % pitch - pitch / 2)
-            chance = min(1.0, 2 * tolerance / pitch)
-            scores = np.round(((d <= tolerance).mean(axis=1) - chance) / (1 - chance), 6) if chance < 1 else np.zeros(len(offsets))
-            if scores.max() > best[0]:
-                best = (float(scores.max()), float(pitch), float(offsets[scores.argmax()]))
-        return pd.DataFrame({page: [g[page].iloc[0]], "pitch": [best[1]], "offset": [best[2]], "score": [best[0]], "n": [len(x)]})
+        g, pages = _sorted(g, page, g[value].to_numpy())
+        xs, names, out = g[value].to_numpy(float), g[page].to_numpy(), []
+        for at in pages:
+            d = np.abs((xs[at][None] - offset_of[:, None] + pitch_of[:, None] / 2) % pitch_of[:, None] - pitch_of[:, None] / 2)
+            scores = np.round(((d <= tolerance).mean(axis=1) - chance) / np.maximum(1 - chance, 1e-9), 6)
+            k = scores.argmax()
+            out.append([names[at.start], float(pitch_of[k]), float(offset_of[k]), float(scores[k]), at.stop - at.start])
+        return pd.DataFrame(out, columns=[page, "pitch", "offset", "score", "n"])
 
-    return _per_page(edges, page, run, f"{page} {dict(edges.dtypes)[page]}, pitch double, offset double, score double, n bigint")
+    return _whole_pages(edges, page, run, f"{page} {dict(edges.dtypes)[page]}, pitch double, offset double, score double, n bigint")
 
 
 def flood_components(cells: DataFrame, page: str, x: str, y: str) -> DataFrame:
     """8-connected components of marked cells: number, size and centroid."""
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        left, out = set(zip(g[x].astype(int), g[y].astype(int), strict=True)), []
-        while left:
-            part, todo = [], [min(left)]
-            left.discard(todo[0])
-            while todo:
-                i, j = todo.pop()
-                part.append((i, j))
-                for a in (i - 1, i, i + 1):
-                    for b in (j - 1, j, j + 1):
-                        if (a, b) in left:
-                            left.discard((a, b))
-                            todo.append((a, b))
-            p = np.array(part, dtype=float)
-            out.append([g[page].iloc[0], len(out), len(part), round(float(p[:, 0].mean()), 4), round(float(p[:, 1].mean()), 4)])
+        g, pages = _sorted(g, page)
+        names, cells, out = g[page].to_numpy(), list(zip(g[x].astype(int), g[y].astype(int), strict=True)), []
+        for at in pages:
+            left, n = set(cells[at]), 0
+            while left:
+                part, todo = [], [min(left)]
+                left.discard(todo[0])
+                while todo:
+                    i, j = todo.pop()
+                    part.append((i, j))
+                    for a in (i - 1, i, i + 1):
+                        for b in (j - 1, j, j + 1):
+                            if (a, b) in left:
+                                left.discard((a, b))
+                                todo.append((a, b))
+                out.append([names[at.start], n, len(part), round(sum(p[0] for p in part) / len(part), 4), round(sum(p[1] for p in part) / len(part), 4)])
+                n += 1
         return pd.DataFrame(out, columns=[page, "component", "n", "cx", "cy"])
 
-    return _per_page(cells, page, run, f"{page} {dict(cells.dtypes)[page]}, component bigint, n bigint, cx double, cy double")
+    return _whole_pages(cells, page, run, f"{page} {dict(cells.dtypes)[page]}, component bigint, n bigint, cx double, cy double")
 
 
 def first_peak(series: DataFrame, key: str, position: str, value: str, low: int = 2, high: int = 40) -> DataFrame:
