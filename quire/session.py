@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import zipfile
@@ -9,8 +10,6 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-_SHIPPED: set[str] = set()
-
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and the benchmark; on a cluster the session comes from outside."""
@@ -24,13 +23,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that Python workers can import it."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
+    root, digest = Path(__file__).resolve().parent, hashlib.sha256()
+    files = sorted(root.rglob("*.py"))
+    for path in files:
+        digest.update(path.read_bytes())
+    name = f"quire-{digest.hexdigest()[:16]}.zip"
+    if any(sent.endswith(name) for sent in spark.sparkContext.listFiles):
         return
-    _SHIPPED.add(app)
-    root = Path(__file__).resolve().parent
-    target = os.path.join(tempfile.mkdtemp(prefix="quire-ship-"), "quire.zip")
+    target = os.path.join(tempfile.mkdtemp(prefix="quire-ship-"), name)
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for path in sorted(root.rglob("*.py")):
+        for path in files:
             z.write(path, str(Path("quire") / path.relative_to(root)))
     spark.sparkContext.addPyFile(target)
