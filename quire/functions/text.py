@@ -6,9 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that do not tell entity names apart.
-STOPWORDS = ("the", "a", "an", "of", "and", "co", "company", "ltd", "limited", "inc")
+STOPWORDS = ("the", "ltd", "inc", "co", "company", "corp", "corporation", "limited")
 #: American and Canadian spellings.
-SPELLINGS = {"color": "colour", "center": "centre", "labor": "labour", "harbor": "harbour", "theater": "theatre", "honor": "honour", "gray": "grey", "plow": "plough"}
+SPELLINGS = {
+    "center": "centre", "theater": "theatre", "meter": "metre", "liter": "litre", "color": "colour", "honor": "honour", "favor": "favour",
+    "labor": "labour", "harbor": "harbour", "neighbor": "neighbour", "defense": "defence", "offense": "offence", "gray": "grey",
+}
 
 
 def key_of(name: Column) -> Column:
@@ -17,8 +20,8 @@ def key_of(name: Column) -> Column:
 
 
 def dedup_key(name: Column, stopwords: tuple[str, ...] = STOPWORDS) -> Column:
-    """Lower case, punctuation to spaces, stop words dropped."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", " ")), " ")
+    """Lower case without ``. , ' " ( )``, stop words dropped, words joined by one space."""
+    words = F.split(F.btrim(F.regexp_replace(F.lower(name), "[.,'\"()]", "")), "\\s+")
     return F.array_join(F.filter(words, lambda w: ~w.isin(*stopwords)), " ")
 
 
@@ -46,9 +49,11 @@ def slug(label: Column) -> Column:
 
 
 def respell(name: Column, spellings: dict[str, str] = SPELLINGS) -> Column:
-    """Replace whole lower-case words by the map."""
-    table = F.create_map(*(F.lit(x) for pair in spellings.items() for x in pair))
-    return F.array_join(F.transform(F.split(F.lower(name), " "), lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")
+    """Lower case with whole runs of letters replaced by the map."""
+    out = F.lower(name)
+    for old, new in spellings.items():
+        out = F.regexp_replace(out, f"(?<![a-z]){old}(?![a-z])", new)
+    return out
 
 
 def excerpt(text: Column, needle: Column, reach: int = 200) -> Column:

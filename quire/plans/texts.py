@@ -13,7 +13,8 @@ from ..sources import envelopes, hocr, tables
 from .catalog import Tables, query
 
 _STOP = ", ".join(f"'{w}'" for w in X.STOPWORDS)
-_DEDUP = f"array_to_string(list_filter(string_split(trim(regexp_replace(lower({{0}}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w NOT IN ({_STOP})), ' ')"
+_DEDUP = f"array_to_string(list_filter(regexp_split_to_array(trim(regexp_replace(lower({{0}}), '[.,''\"()]', '', 'g')), '\\s+'), lambda w: w NOT IN ({_STOP})), ' ')"
+_SPELL = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in X.SPELLINGS.items())
 _NAMES = "names AS (SELECT p_partkey, p_name || CASE p_size % 4 WHEN 0 THEN ' st' WHEN 1 THEN ' & Co.' WHEN 2 THEN '' ELSE ' The Color' END AS name FROM part)"
 
 
@@ -25,7 +26,7 @@ def _names(t: Tables) -> DataFrame:
 @query("X01 X02 X03 X04 X06 X07 X17 X23 Q17", f"""
 WITH {_NAMES} SELECT p_partkey, regexp_replace(lower(name), '[^a-z0-9]+', '', 'g') AS key, {_DEDUP.format('name')} AS dedup, regexp_replace(name, '(\\S)\\s+st$', '\\1 street') AS street,
  trim(regexp_replace(lower(name), '[^a-z0-9]+', '_', 'g'), '_') AS snake, trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') AS slug,
- array_to_string(list_transform(string_split(lower(name), ' '), lambda w: CASE w WHEN 'color' THEN 'colour' WHEN 'gray' THEN 'grey' WHEN 'center' THEN 'centre' WHEN 'labor' THEN 'labour' WHEN 'harbor' THEN 'harbour' WHEN 'theater' THEN 'theatre' WHEN 'honor' THEN 'honour' WHEN 'plow' THEN 'plough' ELSE w END), ' ') AS spelled,
+ array_to_string(list_transform(string_split(lower(name), ' '), lambda w: CASE w {_SPELL} ELSE w END), ' ') AS spelled,
  least(name, 'm') || '|' || greatest(name, 'm') AS pair FROM names""")
 def normalised_names(t: Tables) -> DataFrame:
     n = F.col("name")
@@ -95,13 +96,15 @@ def entities(t: Tables) -> DataFrame:
     return E.roll_up(mentions, "p_name", "p_partkey", "day")
 
 
-@query("E03 J22", f"""
+@query("E03 J22 M23 X05", f"""
 WITH n AS (SELECT p_partkey AS id, {_DEDUP.format("p_name || CASE WHEN p_partkey % 5 = 0 THEN ' set' ELSE '' END")} AS norm FROM part), h AS (SELECT norm, min(id) AS head FROM n WHERE norm <> '' GROUP BY 1)
 SELECT head AS id_a, id AS id_b, CAST(0.9 AS DOUBLE) AS confidence FROM n JOIN h USING (norm) WHERE id <> head
-UNION ALL SELECT DISTINCT least(a.head, b.head), greatest(a.head, b.head), CAST(0.3 AS DOUBLE) FROM h a JOIN h b ON substr(a.norm, 1, 1) = substr(b.norm, 1, 1) AND a.norm <> b.norm AND length(a.norm) >= 4 AND contains(b.norm, a.norm)""")
+UNION ALL SELECT DISTINCT least(a.head, b.head), greatest(a.head, b.head), CAST(0.3 AS DOUBLE) FROM h a JOIN h b ON substr(a.norm, 1, 1) = substr(b.norm, 1, 1) AND a.norm <> b.norm AND length(a.norm) >= 4 AND contains(b.norm, a.norm)
+  AND a.norm NOT IN (SELECT {_DEDUP.format("p_name")} FROM part WHERE p_size < 5) AND a.norm NOT IN (SELECT lower(split_part(p_name, ' ', 1)) FROM part GROUP BY 1 HAVING count(DISTINCT p_name) > 1)""")
 def duplicate_candidates(t: Tables) -> DataFrame:
     named = t.part.select("p_partkey", F.concat("p_name", F.when(F.col("p_partkey") % 5 == 0, " set").otherwise("")).alias("name"))
-    return E.duplicate_pairs(named, "p_partkey", "name")
+    names = t.part.select(F.col("p_name").alias("name"), "p_size")
+    return E.duplicate_pairs(named, "p_partkey", "name", people=names, places=names.where("p_size < 5"))
 
 
 @query("J25 E15", """
