@@ -127,10 +127,12 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], id_col:
     """
     data = build_array(rules)
     name = f"rules-{hashlib.sha256(data).hexdigest()[:24]}.bin"
-    local = os.path.join(tempfile.mkdtemp(prefix="quire-"), name)
-    with open(local, "wb") as f:
-        f.write(data)
-    pages.sparkSession.sparkContext.addFile(local)
+    context = pages.sparkSession.sparkContext
+    if not any(sent.endswith(name) for sent in context.listFiles):  # Spark refuses one name twice
+        local = os.path.join(tempfile.mkdtemp(prefix="quire-"), name)
+        with open(local, "wb") as f:
+            f.write(data)
+        context.addFile(local)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _OPEN:
