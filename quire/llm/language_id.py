@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 13
 ORDERS = (1, 2, 3, 4)
 DIM = 16
-SAMPLE = 3_000
+SAMPLE = 2_000
 EPOCHS = 12
 RATE = 0.5
 BATCH = 32
@@ -77,19 +77,20 @@ class LanguageModel:
 
 
 def train(counts: np.ndarray, names: list[str], dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> LanguageModel:
-    """Fit on rows of n-gram counts; every fifth row calibrates instead of training."""
+    """Fit on rows of n-gram counts, which are overwritten; every fifth row calibrates instead of training."""
     langs = sorted(set(names))
     if not langs:
         return LanguageModel([], np.zeros((counts.shape[1] if counts.ndim == 2 else BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0)
     y = np.array([langs.index(n) for n in names])
-    x = counts / np.maximum(1.0, counts.sum(axis=1, keepdims=True))
+    x = counts
+    x /= np.maximum(1.0, x.sum(axis=1, keepdims=True))
     held = np.arange(len(x)) % 5 == 4
     if held.all() or not held.any():
         held = np.zeros(len(x), bool)
     rng = np.random.default_rng(seed)
     # Scaling by the inverse root of a bucket's mean frequency lets rare n-grams learn as fast as common ones.
     scale = (1.0 / np.sqrt(x.mean(axis=0) + 1e-6)).astype(np.float32)
-    x = (x * scale).astype(np.float32)
+    x *= scale
     e = rng.normal(0, 0.1, (x.shape[1], dim)).astype(np.float32)
     w, b = rng.normal(0, 0.1, (dim, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32)
     rows = np.flatnonzero(~held)
@@ -142,10 +143,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             got = [(i, ngram_counts(t, buckets), g) for i, t, g in zip(*(c.to_pylist() for c in batch.columns), strict=True) if has_letter(t)]
             yield pa.RecordBatch.from_arrays([pa.array([g for _, _, g in got], pa.string()), pa.array([i for i, _, _ in got], pa.int64()), pa.array([c.astype(np.uint32).tobytes() for _, c, _ in got], pa.binary())], ["lang", "doc_id", "counts"])
 
-    got = sorted(((r[1], r[0], bytes(r[2])) for r in rows.mapInArrow(count, "lang string, doc_id bigint, counts binary").collect()), key=lambda r: (hash_id(r[0]), r[1]))[: 2 * sample]
-    if not got:
-        return train(np.zeros((0, buckets)), [])
-    return train(np.stack([np.frombuffer(c, np.uint32).astype(np.float32) for _, _, c in got]), [g for _, g, _ in got])
+    got = rows.mapInArrow(count, "lang string, doc_id bigint, counts binary").collect()
+    got.sort(key=lambda r: (hash_id(r["doc_id"]), r["doc_id"], r["lang"], r["counts"]))
+    del got[2 * sample :]
+    names, x = [r["lang"] for r in got], np.empty((len(got), buckets), dtype=np.float32)
+    for k in reversed(range(len(got))):
+        x[k] = np.frombuffer(got.pop()["counts"], np.uint32)
+    return train(x, names)
 
 
 def hash_id(x: int) -> int:
