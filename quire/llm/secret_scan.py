@@ -137,10 +137,9 @@ def build_index(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id",
 
     A block is a hash slice of the ids, so no list outgrows a block.  Rows without an id or text post nothing.
     """
-    low = F.lower(F.col(text_col))
-    found = F.filter(F.lit(vocabulary), lambda t: F.contains(F.col("_low"), t))
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), low.alias("_low"))
-    rows = rows.select("doc_id", found.alias("found")).where(F.size("found") > 0)
+    # The lower-cased text is bound by a lambda, as the optimizer would else repeat lower() for every trigram.
+    found = F.get(F.transform(F.array(F.lower(F.col(text_col))), lambda low: F.filter(F.lit(vocabulary), lambda t: F.contains(low, t))), 0)
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), found.alias("found"))
     posts = rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), "doc_id", F.explode("found").alias("trigram"))
     return posts.groupBy("block", "trigram").agg(F.collect_set("doc_id").alias("docs"))
 
