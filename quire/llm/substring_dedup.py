@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ._text import window_hashes, word_bounds, word_hashes
 
 WINDOW = 50
+CHUNK_BYTES = 8 << 20
 _PACKED = "bucket int, chunk int, n bigint, wide boolean, keys binary"
 _FLAGS = "chunk int, bucket int, n bigint, bits binary"
 _RESULT = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept_text string, kept_sha256 string"
@@ -87,12 +88,14 @@ def remove_repeats(
     windows are judged on the input.  ``spans`` are the maximal removed intervals in words, end exclusive.
     Texts of fewer words than a window, blank and NULL texts lose nothing.  Windows repeated inside one
     document, or in rows with the same id, stay.  Rows with a NULL id neither give nor lose words.
-    ``chunks`` sets how many groups of consecutive ids are processed; the result does not depend on it.
+    ``chunks`` sets how many groups of consecutive ids are processed; by default a group holds about
+    ``CHUNK_BYTES`` of text, which bounds a task's memory.  The result does not depend on it.
     """
-    spark = docs.sparkSession
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks, buckets = chunks or max(8, 2 * shuffles), max(8, shuffles)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    if not chunks:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        chunks = max(8, -(-size // CHUNK_BYTES))
+    buckets = max(8, chunks // 2)
     cuts = rows.agg(F.percentile_approx("doc_id", [i / chunks for i in range(1, chunks)], 20_000)).first()[0] if chunks > 1 else []
     rows = rows.withColumn("chunk", _pick_chunk(F.col("doc_id"), sorted(set(cuts or [])))).repartition(chunks, "chunk")
 
