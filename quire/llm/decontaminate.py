@@ -1,7 +1,10 @@
 """Benchmark decontamination with spaced seeds.
 
-A mask such as ``11011001`` reads the words at its ones and ignores those at its zeros, so a substituted
-word under a zero does not hide a hit.  Every mask is laid on every position of every document; a position
+A mask such as ``11011`` reads the words at its ones and ignores those at its zeros, so a substituted
+word under a zero does not hide a hit.  The masks lose nothing: k substitutions leave n - k words in at most
+k + 1 runs, so four words of five leave a run of four (``1111``) except in items of 5, 6, 7, 10, 11 and 15
+words; there, from 6 words on, every accepted pattern without such a run fits ``11011``, and 5 words take all
+masks of four.  Every mask is laid on every position of every document; a position
 survives if its hash is set in a bitmap of the benchmark's hashes (at most ``BITMAP_BITS`` bits whatever
 the benchmark's size), and the survivors join the benchmark's hashes exactly.  Around each hit both texts
 are compared word by word on the hit's diagonal, and the overlap counts if some stretch of ``stretch``
@@ -19,7 +22,8 @@ from pyspark.sql import functions as F
 from ._native import hashes, total, words
 from ._store import stored
 
-MASKS = ("11011001", "10101101")
+MASKS = ("1111", "11011")
+FIVE = ("1111", "11101", "11011", "10111")
 STRETCH = 20
 SIMILARITY = 0.8
 MIN_WORDS = 5
@@ -43,20 +47,24 @@ def _slot(h: Column) -> Column:
 def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS) -> DataFrame:
     """Rows ``(h, item_id, j, item)``: each mask at each position of each item.
 
-    An item shorter than the masks is read by one full mask of its own length; items of fewer than
-    ``min_words`` words and NULL texts give no seeds.  Equal texts keep their own ids.
+    An item of up to four words is read by one full mask of its own length, one of five by ``FIVE`` and a
+    longer one that is shorter than the masks by ``MASKS``; items of fewer than ``min_words`` words and
+    NULL texts give no seeds.  Equal texts keep their own ids.
     """
-    span = max(map(len, masks))
+    span = max(len(FIVE[-1]) + 1, *map(len, masks))
     items = benchmark.select(F.col(id_col).alias("item_id"), hashes(words(F.lower(F.col(text_col)))).alias("item"))
     items = items.withColumn("n", F.size("item")).where(F.col("n") >= min_words)
-    parts = [items.where(F.col("n") >= span).select("item_id", "item", F.explode(_starts(F.col("n"), m)).alias("j"), F.lit(m).alias("mask")) for m in masks]
-    short = ["1" * n for n in range(min_words, span)]
-    parts += [items.where(F.col("n") == len(m)).select("item_id", "item", F.lit(0).alias("j"), F.lit(m).alias("mask")) for m in short]
+    short = {n: ("1" * n,) if n < 5 else FIVE if n == 5 else MASKS for n in range(max(min_words, 1), span)}
+    used = sorted({*masks, *(m for some in short.values() for m in some)})
+    parts = []
+    for m in used:
+        read = F.col("n").isin([n for n, some in short.items() if m in some]) | ((F.col("n") >= span) & F.lit(m in masks))
+        parts.append(items.where(read).select("item_id", "item", F.explode(_starts(F.col("n"), m)).alias("j"), F.lit(m).alias("mask")))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
     h = F.lit(None).cast("bigint")
-    for m in (*masks, *short):
+    for m in used:
         h = F.when(F.col("mask") == m, _seed(F.col("item"), F.col("j"), m)).otherwise(h)
     return out.select(h.alias("h"), "mask", "item_id", "j", "item")
 
@@ -71,6 +79,7 @@ def find_overlaps(
     it), ``n_matched`` the words equal on that diagonal and ``overlap`` their share of the item.  Words are
     compared in lower case.  NULL and blank texts match nothing; rows with a NULL id are not judged;
     repeated rows report once; an empty benchmark gives an empty result.  Other columns are ignored.
+    With ``MASKS``, a ``similarity`` of 0.8 or more and a ``stretch`` of 6 or more no overlap is missed.
     """
     spark = docs.sparkSession
     seeds = stored(benchmark_seeds(benchmark, item_col, item_text, masks, min_words), "seeds")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import defaultdict
 
@@ -139,3 +140,19 @@ def sainte_lague(votes, seats):
         best = max(votes, key=lambda k: (votes[k] / (2 * got[k] + 1), [-ord(c) for c in k]))
         got[best] += 1
     return got
+
+
+def overlaps(docs, items, stretch=20, similarity=0.8, min_words=5):
+    """Every diagonal of every document and item, by the 80 % rule alone; {(doc, item): (start, matched)}."""
+    best = {}
+    for d, t in docs:
+        w = [x.lower() for x in WORD.findall(t or "")]
+        for i, text in items:
+            item = [x.lower() for x in WORD.findall(text or "")]
+            n = len(item)
+            for start in range(1 - n, len(w)) if d is not None and n >= min_words else ():
+                same = [0 <= start + k < len(w) and w[start + k] == x for k, x in enumerate(item)]
+                long = n > stretch and max(sum(same[k : k + stretch]) for k in range(n - stretch + 1)) >= math.ceil(similarity * stretch)
+                if long or sum(same) >= math.ceil(similarity * n):
+                    best[d, i] = max(best.get((d, i), (0, 0)), (sum(same), -start))
+    return {k: (-back, matched) for k, (matched, back) in best.items()}

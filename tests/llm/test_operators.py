@@ -112,6 +112,42 @@ def test_decontamination_against_containment(spark, documents, sf):
     assert want <= got and len(got) <= len(want) + 5
 
 
+def test_masks_lose_no_accepted_pattern():
+    from itertools import combinations
+
+    for n in range(5, 21):
+        masks = decontaminate.FIVE if n == 5 else decontaminate.MASKS
+        places = [{j + k for k, bit in enumerate(m) if bit == "1"} for m in masks for j in range(n - len(m) + 1)]
+        for gone in combinations(range(n), n - -(-4 * n // 5)):
+            assert any(p.isdisjoint(gone) for p in places), (n, gone)
+
+
+def test_decontamination_against_brute_force(spark):
+    import random
+    from itertools import combinations
+
+    rng = random.Random(11)
+    item = {n: [f"i{n}w{k}" for k in range(n)] for n in range(1, 27)}
+    items = [(n, " ".join(w)) for n, w in item.items()] + [(40, "a b a a b a"), (41, "b a b a b")]
+    rows = [(1000 + k, " ".join(rng.choice("ab") for _ in range(rng.randint(1, 30)))) for k in range(20)]
+    for n, w in item.items():
+        most = n - -(-4 * n // 5) if n <= 20 else 5
+        ways = [g for k in range(most + 2) for g in combinations(range(n), k)]
+        ways = rng.sample(ways, min(len(ways), 40)) + [tuple(range(4, n, 5))[:most]]
+        rows += [(10_000 * n + k, " ".join(["x"] * rng.randint(0, 3) + ["zz" if p in g else x for p, x in enumerate(w)] + ["y"] * rng.randint(0, 3))) for k, g in enumerate(ways)]
+    docs, bench = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    for fewest in (5, 1):
+        got = decontaminate.find_overlaps(docs, bench, min_words=fewest).collect()
+        assert {(r["doc_id"], r["item_id"]): (r["start"], r["n_matched"]) for r in got} == brute.overlaps(rows, items, min_words=fewest)
+
+
+def test_decontamination_of_tables_against_brute_force(spark, documents, sf):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()][:6]
+    rows = [(d, t) for d, t in texts(documents) if len(t or "") < 4000][:60] + [(-1, items[0][1])]
+    got = decontaminate.find_overlaps(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["start"], r["n_matched"]) for r in got} == brute.overlaps(rows, items)
+
+
 def test_short_and_empty_benchmarks(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, "aaaa bbbb"), (2, "a b c a b"), (3, None), (4, "")], "item_id bigint, text string")
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_overlaps(odd_docs, bench).collect()} == {(16, 2)}
