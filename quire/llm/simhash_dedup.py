@@ -115,7 +115,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     marked = stored(with_fingerprint(docs, id_col, text_col, width, seed), "fingerprints")
     groups = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")).dropna(), "fingerprint-groups")
-    twins = marked.dropna().groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b").select("a", "b")
+    ids = marked.dropna()
+    least = ids.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("most")).where("a <> most").select("doc_id", "a")
+    twins = ids.join(least, "doc_id").select("a", F.col("fp").alias("b")).where("a <> b").distinct()
     found = links(groups.select("fp"), radius).union(twins)
     parts = connected_components(found, stored)
     roots = groups.join(parts, groups.fp == parts.id, "left").select("fp", F.coalesce("component", "fp").alias("root"), "first")

@@ -83,6 +83,12 @@ def test_simhash_links_are_complete(spark):
         assert {(r["a"], r["b"]) for r in simhash_dedup.links(fps, dense=dense).collect()} == want
 
 
+def test_simhash_of_one_id_with_many_texts(spark):
+    rows = [(1, "alpha beta gamma delta"), (1, "one two three four"), (1, "red green blue black"), (1, "north east south west"), (0, "red green blue black"), (2, "north east south west"), (3, "one two three four"), (4, "alpha beta gamma delta")]
+    got = simhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(((r["doc_id"], r["fingerprint"], r["component_id"]) for r in got), key=str) == brute.components(rows)
+
+
 def test_keep_first(odd_docs):
     kept = [r["doc_id"] for r in simhash_dedup.keep_first(odd_docs).collect()]
     parts = {d: c for d, _, c in brute.components(texts(odd_docs))}
