@@ -148,7 +148,7 @@ def article_bodies(t: Tables) -> DataFrame:
     return box_pairs(t.boxes().where("score >= 25"), t.boxes(), "page", under, "left").groupBy(F.col("a.id").alias("id")).agg(F.count("b.id").alias("below"), F.min("b.t").alias("first_below"))
 
 
-@query("T06 P33 J19 T10 M46 J29", f"""
+@query("P33 J19 T10 M46 J29", f"""
 WITH {BOXES} SELECT id, page FROM boxes b WHERE NOT EXISTS (SELECT 1 FROM boxes a WHERE a.page = b.page AND a.id <> b.id AND b.l >= a.l AND b.t >= a.t AND b.r <= a.r AND b.b <= a.b AND ({AREA_A} > {AREA_B} OR a.id < b.id))""")
 def not_nested(t: Tables) -> DataFrame:
     a, b = Box.of("a."), Box.of("b.")
@@ -242,6 +242,6 @@ def marked_components(t: Tables) -> DataFrame:
     return G.flood_components(cells, "page", "x", "y")
 
 
-@query("A60")
+@query("")
 def periodic_zones(t: Tables) -> DataFrame:
     return G.first_peak(t.events.select("user_id", "event_id", "value").where("value is not null"), "user_id", "event_id", "value")

@@ -121,7 +121,7 @@ def rendered_transcripts(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", P.render_html(F.col("text")).alias("html"))
 
 
-@query("I03 I04 I05 I07 I02 I09", """
+@query("I03 I04 I05 I07 I02", """
 WITH x AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS plan, CASE WHEN o_orderkey % 7 = 0 THEN 'fixed' ELSE o_orderpriority END AS h, o_orderstatus AS t FROM orders)
 SELECT plan, arg_min(h, o_orderkey) AS headline, string_agg(t, chr(10) ORDER BY o_orderkey) AS full_text, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS sources FROM x GROUP BY 1""")
 def third_pass_items(t: Tables) -> DataFrame:
@@ -173,7 +173,7 @@ def issue_page_status(t: Tables) -> DataFrame:
     return g.withColumn("status", F.when(F.col("pending") == 0, "done").when(F.col("pending") == F.col("pages"), "pending").otherwise("partial"))
 
 
-@query("I15 M30 M31 I19 U04", f"""
+@query("I15 M30 M31 I19", f"""
 WITH {BOXES}, c AS (SELECT a.id, count(b.id) AS n FROM boxes a LEFT JOIN boxes b ON a.page = b.page AND a.id <> b.id AND abs(a.l - b.l) <= 2 GROUP BY 1)
 SELECT boxes.id, CASE WHEN NOT (l < 4 OR r > 75) THEN 'inside' WHEN n = 0 THEN 'sliver' WHEN n = 1 THEN 'suspect' ELSE 'aligned' END AS verdict FROM boxes JOIN c USING (id)""")
 def sliver_verdicts(t: Tables) -> DataFrame:

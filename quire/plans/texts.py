@@ -76,7 +76,7 @@ def content_hashes(t: Tables) -> DataFrame:
     return g.select("o_custkey", content.alias("content"), X.prompt_hash(F.lit("template"), F.struct(F.col("o_custkey").alias("a"), "n")).alias("prompt"))
 
 
-@query("X10 X11 W13 I20 I22 I23 M74")
+@query("X10 X11 W13 I20 I22 I23")
 def stitched_transcripts(t: Tables) -> DataFrame:
     return G.join_slices(t.conversations.select("conv_id", "turn", "text"), "conv_id", "turn", "text")
 
@@ -268,13 +268,13 @@ def envelope_verdicts(t: Tables) -> DataFrame:
     return judged.select("doc_id", "rejected", F.when(F.col("rejected").isNull(), F.col("envelope.transcript_text")).alias("body"))
 
 
-@query("S08 S10 S12", """
+@query("S08 S10", """
 SELECT page_id, CAST(len(regexp_extract_all(html, '<a ')) AS BIGINT) AS n_links, CAST(len(regexp_extract_all(html, '<p[ >]')) AS BIGINT) AS n_paragraphs, CAST(len(regexp_extract_all(html, '<img')) AS BIGINT) AS n_images, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages""")
 def html_headings(t: Tables) -> DataFrame:
     return hocr.headings(t.pages, "page_id", "html")
 
 
-@query("S08 S09 A24 I09 I10 I11 M19", """
+@query("S08 S09 A24 I10 I11 M19", """
 SELECT l_orderkey AS page, CAST(l_linenumber AS INTEGER) - 1 AS block, count(*) AS n_words, round(avg(l_quantity), 2) AS confidence FROM (
  SELECT DISTINCT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem) GROUP BY 1, 2""")
 def hocr_blocks(t: Tables) -> DataFrame:
@@ -313,7 +313,7 @@ def vocabulary_lookup(t: Tables) -> DataFrame:
     return asked.join(hits, "w", "left")
 
 
-@query("S23 I09", """
+@query("S23", """
 WITH RECURSIVE up AS (SELECT p_partkey AS id, p_partkey AS pos, 0 AS depth, CAST(p_partkey AS VARCHAR) AS chain FROM part UNION ALL SELECT id, CAST(floor(pos / 4) AS BIGINT), depth + 1, CAST(CAST(floor(pos / 4) AS BIGINT) AS VARCHAR) || '>' || chain FROM up WHERE pos > 0 AND depth < 6)
 SELECT id, max_by(chain, depth) AS chain FROM up GROUP BY 1""")
 def broader_chains(t: Tables) -> DataFrame:
