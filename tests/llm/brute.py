@@ -91,17 +91,20 @@ def quality(text):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), sum(n - 1 for n in lines.values()), len(covered), len(w) < 50 or 100 * len(covered) > 50 * len(w))
 
 
-ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)  # letters are A-Z and a-z
 
 
-def secrets(text):
+def secrets(text, extra=()):
+    """Counts and digest of the contract's kinds, and all spans; ``extra`` holds (kind, pattern) in order."""
     text = text or ""
     found = [("assign", 0, m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [("access", 1, m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [("hex", 2, m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    found += [(kind, 3 + k, m.span()) for k, (kind, pattern) in enumerate(extra) for m in re.finditer(pattern, text, re.ASCII)]
     found.sort(key=lambda x: (x[2][0], x[1]))
     kinds = [k for k, _, _ in found]
-    return (kinds.count("assign"), kinds.count("access"), kinds.count("hex"), sha(",".join(f"{k}:{a}:{b}" for k, _, (a, b) in found)))
+    said = lambda some: ",".join(f"{k}:{a}:{b}" for k, _, (a, b) in some)
+    return (kinds.count("assign"), kinds.count("access"), kinds.count("hex"), sha(said([x for x in found if x[1] < 3])), said(found))
 
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]

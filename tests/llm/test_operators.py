@@ -186,14 +186,44 @@ def test_quality_rules_without_labels(odd_docs, spark):
     assert quality_rules.fit(odd_docs, spark.createDataFrame([(None, 1), (1, None), (2, 0)], "doc_id bigint, quality int")) in ([],)
 
 
-def test_secrets(docs, spark, monkeypatch):
-    got = secret_scan.scan(docs, blocks=16)
+def secret_rows(spark):
+    """Texts with many credentials of all kinds, whole, cut short, glued together and in odd letter cases."""
+    import random
+
+    rng = random.Random(8)
+    parts = [
+        "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----begin PRIVATE KEY-----", "ghp_" + "aZ9" * 13, "ghx_" + "aZ9" * 13, "gho_short",
+        "xoxb-1234567890-abc", "xoxz-1234567890", "AIza" + "b_" * 18, "AIza" + "b" * 30, "eyJ" + "a" * 12 + ".eyJ" + "b" * 12 + "." + "c" * 12, "eyJ" + "a" * 12 + ".xyJ",
+        "ftp://me:pw@host", "http://host/a:b@c", "Password = 'hunter22'", "api-key: abcdefgh", "APIKEY=abcdefgh", "to\u212aen: abcdefgh", "toKEN : abcdefgh",
+        "AKIA" + "Z9" * 9, "AKIA", "0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "secret=token=abcdefgh", "\U0001f600", "\u00e9t\u00e9", "\u0130", "word", "\n", "  ", "a://b:c@",
+    ]
+    rows = [(k, rng.choice(["", " ", "\n", "x"]).join(rng.choice(parts) for _ in range(rng.randint(0, 12)))) for k in range(300)]
+    rows += [(900, " ".join(parts * 150)), (901, "password=abcdef " * 3000), (1, "token: abcdefgh"), (1, "token: abcdefgh"), (None, " ".join(parts)), (902, None)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+@pytest.mark.parametrize("blocks", [None, 16])
+@pytest.mark.parametrize("which", ["documents", "odd_docs", "secret_rows"])
+def test_secrets_equal_a_full_scan_by_every_rule(request, spark, which, blocks):
+    docs = secret_rows(spark) if which == "secret_rows" else request.getfixturevalue(which)
+    got = secret_scan.scan(docs, blocks=blocks)
     base = F.filter("spans", lambda s: s["place"] < 3)
-    rows = got.select("doc_id", *(queries._count(k).alias(k) for k in ("assign", "access", "hex")), F.sha2(secret_scan.digest(base), 256).alias("sha")).collect()
+    rows = got.select("doc_id", *(queries._count(k).alias(k) for k in ("assign", "access", "hex")), F.sha2(secret_scan.digest(base), 256).alias("sha"), secret_scan.digest(F.col("spans")).alias("spans")).collect()
     want = defaultdict(list)
     for d, t in texts(docs):
-        want[d].append(brute.secrets(t))
-    assert by_id(rows, "assign", "access", "hex", "sha") == ordered(want)
+        want[d].append(brute.secrets(t, [(r.kind, r.pattern) for r in secret_scan.EXTRA]))
+    assert by_id(rows, "assign", "access", "hex", "sha", "spans") == ordered(want)
+
+
+def test_clauses_admit_every_match():
+    import re
+
+    assert set(secret_scan._clauses(secret_scan.trigram_query("abcd(xyz|uvw)"))) == {frozenset(["abc", "bcd", "cdx", "dxy", "xyz"]), frozenset(["abc", "bcd", "cdu", "duv", "uvw"])}
+    wide = ("and", *(("or", *(f"{a}{k:02d}" for k in range(9))) for a in "abcd"))
+    clauses = secret_scan._clauses(wide)  # parts are left out, so a clause asks for less, never for more
+    assert len(clauses) <= secret_scan._MOST and all(any(c <= {f"{a}{k:02d}" for a in "abcd"} for c in clauses) for k in range(9))
+    look = secret_scan._looking_for(["aki", "kia", "a.b", "://"])
+    assert [m[1] for m in re.finditer(look, "akia a.b axb ://")] == ["aki", "kia", "a.b", "://"]
 
 
 def test_trigram_queries():
