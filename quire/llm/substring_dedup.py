@@ -1,159 +1,122 @@
-"""Substring dedup: Rabin-Karp hashes of every fixed-length word window, counted in a Spark shuffle.
-
-Documents are grouped into chunks of consecutive ids.  A chunk hashes all its windows, and for every
-bucket of the hash space it sends one packed row: its distinct hashes, sorted and delta-coded (about six
-bytes a window).  A bucket's task counts equal hashes over all chunks; the lowest chunk with a hash keeps
-it, and the others get back one bit per hash.  Each chunk then knows for every window whether it starts in
-a document with a smaller id, here or in an earlier chunk, and merges such windows into maximal
-intervals.  A window found in a third of all documents costs one entry per chunk.
+"""Substring dedup: Rabin-Karp hashes of every fixed-length word window, counted in Spark.
+
+Documents fall into chunks by a hash of id and text.  A chunk hashes all its windows and sends one packed
+row to each range of the hash space: the distinct hashes and, beside each, the smallest document of the
+chunk that holds it (about nine bytes a window on the wire).  Spark unpacks the rows and finds the smallest
+document of every hash; hashes whose chunk only holds larger documents are late, and their places in the
+packed rows go back to the chunk.  There late windows merge into maximal removal intervals.  A window found in
+a third of all documents costs one entry per chunk.
 """
 
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._text import window_hashes, word_bounds, word_hashes
 
 WINDOW = 50
-CHUNK_BYTES = 8 << 20
-_PACKED = "bucket int, chunk int, n bigint, wide boolean, keys binary"
-_FLAGS = "chunk int, bucket int, n bigint, bits binary"
+CHUNK_BYTES = 4 << 20
+RANGE_BYTES = 4 << 20
+MOST_RANGES = 1 << 14
+_PACKED = "chunk int, range int, key array<bigint>, doc array<bigint>"
 _RESULT = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept_text string, kept_sha256 string"
 
 
-def _windows(text: str | None, width: int) -> np.ndarray:
-    buf = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    return window_hashes(word_hashes(buf, *word_bounds(buf)), width)
-
-
-def _chunk_hashes(table: pa.Table, width: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The windows of each row (none without an id), and all of the chunk's together."""
-    each = [_windows(t.as_py(), width) if i.is_valid else np.zeros(0, np.uint64) for i, t in zip(table.column("doc_id"), table.column("text"), strict=True)]
-    return each, np.concatenate(each) if each else np.zeros(0, np.uint64)
-
-
-def _distinct(ranked: np.ndarray) -> np.ndarray:
-    """Which values of a sorted array differ from their predecessor."""
-    new = np.ones(len(ranked), dtype=bool)
-    new[1:] = ranked[1:] != ranked[:-1]
-    return new
-
+def _raw(text: pa.StringScalar) -> bytes:
+    return (text.as_py() or "").encode("utf-8", "surrogatepass")
 
-def _pack(keys: np.ndarray) -> tuple[bool, bytes]:
-    gaps = np.diff(keys, prepend=np.uint64(0))
-    if wide := bool(len(gaps) and int(gaps[1:].max(initial=0)) >= 1 << 48):
-        return wide, keys.tobytes()
-    raw = gaps.astype("<u8")
-    return wide, raw[:1].tobytes() + np.ascontiguousarray(raw[1:].view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
+def _windows(raw: bytes, width: int) -> np.ndarray:
+    buf = np.frombuffer(raw, dtype=np.uint8)
+    return window_hashes(word_hashes(buf, *word_bounds(buf)), width)
 
-def _unpack(n: int, wide: bool, blob: bytes) -> np.ndarray:
-    if wide or n == 0:
-        return np.frombuffer(blob, dtype="<u8")
-    gaps = np.zeros((n, 8), dtype=np.uint8)
-    gaps[0] = np.frombuffer(blob[:8], dtype=np.uint8)
-    gaps[1:, :6] = np.frombuffer(blob[8:], dtype=np.uint8).reshape(-1, 6)
-    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64)
 
+@dataclass
+class _Chunk:
+    """All windows of a chunk, in the order of ids and texts, and where their distinct hashes are sent."""
 
-def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket, an equal slice of the hash space, begins in the sorted keys."""
-    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], dtype=np.uint64)
-    return np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
+    sizes: list[int]  # windows of each row
+    hashes: np.ndarray
+    docs: np.ndarray
+    lead: np.ndarray  # for each window, the first window with its hash; that is one of the smallest document
+    sent: np.ndarray  # leading windows by range, in the rows' order within a range
+    offsets: np.ndarray  # where each range begins in ``sent``
 
 
-def _pick_chunk(doc: Column, bounds: list[int]) -> Column:
-    """Binary search of an id in ascending bounds, as an expression; NULL goes to chunk 0."""
-    if not bounds:
-        return F.lit(0)
-    array, steps = F.lit(bounds), [1 << k for k in reversed(range(len(bounds).bit_length()))]
-    found = F.aggregate(
-        F.lit(steps), F.lit(0),
-        lambda low, step: F.when((low + step <= len(bounds)) & (F.get(array, low + step - 1) < doc), low + step).otherwise(low),
-    )
-    return F.coalesce(found, F.lit(0))
+def _arranged(table: pa.Table, width: int, ranges: int) -> _Chunk:
+    """Windows of rows sorted by id and text; rows without an id have none."""
+    each = [_windows(_raw(t), width) if i.is_valid else np.zeros(0, np.uint64) for i, t in zip(table.column("doc_id"), table.column("text"), strict=True)]
+    sizes = [len(h) for h in each]
+    hashes, docs = np.concatenate(each), np.repeat(table.column("doc_id").fill_null(0).to_numpy(), sizes)
+    order = np.argsort(hashes, kind="stable")
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = hashes[order[1:]] != hashes[order[:-1]]
+    firsts = order[new]
+    lead = np.empty(len(order), dtype=np.int64)
+    lead[order] = firsts[np.cumsum(new) - 1]
+    firsts = np.sort(firsts)
+    spot = ((hashes[firsts] >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.uint16)
+    return _Chunk(sizes, hashes, docs, lead, firsts[np.argsort(spot, kind="stable")], np.searchsorted(np.sort(spot), np.arange(ranges + 1)))
 
 
-def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, chunks: int | None = None,
-) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, chunks: int | None = None, ranges: int | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, spans, kept_text, kept_sha256``.
 
     Removed is each word that some window covers whose words also start in a document with a smaller id;
     windows are judged on the input.  ``spans`` are the maximal removed intervals in words, end exclusive.
     Texts of fewer words than a window, blank and NULL texts lose nothing.  Windows repeated inside one
     document, or in rows with the same id, stay.  Rows with a NULL id neither give nor lose words.
-    ``chunks`` sets how many groups of consecutive ids are processed; by default a group holds about
-    ``CHUNK_BYTES`` of text, which bounds a task's memory.  The result does not depend on it.
+    By default there is a chunk for every ``CHUNK_BYTES`` of text and a range for every ``RANGE_BYTES``, at most
+    ``MOST_RANGES``, so packed rows grow with the input and a task's memory does not; one text is always
+    held whole.  The result depends on neither.  Equal 64-bit hashes count as equal windows.  Other
+    columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    if not chunks:
+    if not (chunks and ranges):
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        chunks = max(8, -(-size // CHUNK_BYTES))
-    buckets = max(8, chunks // 2)
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / chunks for i in range(1, chunks)], 20_000)).first()[0] if chunks > 1 else []
-    rows = rows.withColumn("chunk", _pick_chunk(F.col("doc_id"), sorted(set(cuts or [])))).repartition(chunks, "chunk")
+        chunks, ranges = chunks or max(8, -(-size // CHUNK_BYTES)), ranges or min(MOST_RANGES, max(8, -(-size // RANGE_BYTES)))
+    rows = rows.withColumn("turn", F.xxhash64("doc_id", "text")).withColumn("chunk", F.pmod("turn", F.lit(chunks)).cast("int"))
+    rows = rows.repartition(max(8, chunks // 4), "chunk")
 
     def pack(table: pa.Table) -> pa.Table:
-        chunk = table.column("chunk")[0].as_py()
-        ranked = np.sort(_chunk_hashes(table, window)[1])
-        keys = ranked[_distinct(ranked)]
-        at = _cuts(keys, buckets)
-        out = [(b, chunk, at[b + 1] - at[b], *_pack(keys[at[b] : at[b + 1]])) for b in range(buckets) if at[b + 1] > at[b]]
-        return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [[]] * 5, (pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()), strict=True)], ["bucket", "chunk", "n", "wide", "keys"])
-
-    def count(table: pa.Table) -> pa.Table:
-        table = table.sort_by("chunk")
-        bucket, chunk, size, wide, blobs = (table.column(c).to_pylist() for c in ("bucket", "chunk", "n", "wide", "keys"))
-        keys = np.concatenate([_unpack(*x) for x in zip(size, wide, blobs, strict=True)])
-        order = np.argsort(keys, kind="stable")
-        again = np.zeros(len(keys), dtype=bool)
-        again[order] = ~_distinct(keys[order])
-        at = np.cumsum([0, *size])
-        out = [(c, bucket[0], n, np.packbits(again[a : a + n]).tobytes()) for c, n, a in zip(chunk, size, at, strict=False) if again[a : a + n].any()]
-        return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["chunk", "bucket", "n", "bits"])
+        c = _arranged(table.sort_by([("doc_id", "ascending"), ("turn", "ascending")]), window, ranges)
+        used = np.flatnonzero(np.diff(c.offsets))
+        offsets = pa.array(np.append(c.offsets[used], len(c.sent)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[c.sent])) for x in (c.hashes.view(np.int64), c.docs)]
+        return pa.Table.from_arrays([pa.array([table.column("chunk")[0].as_py()] * len(used), pa.int32()), pa.array(used.astype(np.int32)), *lists], ["chunk", "range", "key", "doc"])
+
+    packed = rows.groupBy("chunk").applyInArrow(pack, _PACKED).repartition(max(8, ranges // 4), "range")
+    each = packed.select("chunk", "range", F.posexplode(F.arrays_zip("key", "doc")).alias("at", "x")).select("chunk", "range", "at", "x.key", "x.doc")
+    first = F.min("doc").over(Window.partitionBy("key", "range"))
+    flags = each.withColumn("first", first).where("doc > first").groupBy("chunk", "range").agg(F.collect_list("at").alias("late"))
 
     def remove(table: pa.Table, flags: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        each, hashed = _chunk_hashes(table, window)
-        order = np.argsort(hashed)
-        ranked = hashed[order]
-        new = _distinct(ranked)
-        keys, slot = ranked[new], np.empty(len(hashed), dtype=np.int64)
-        slot[order] = np.cumsum(new) - 1
-        slots = np.split(slot, np.cumsum([len(h) for h in each])[:-1])
-        early, at = np.zeros(len(keys), dtype=bool), _cuts(keys, buckets)
-        for b, n, bits in zip(*(flags.column(c).to_pylist() for c in ("bucket", "n", "bits")), strict=True):
-            early[at[b] : at[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-        ids = table.column("doc_id").fill_null(0).to_numpy()  # rows without an id have no windows
-        owner = np.full(len(keys), -1, dtype=np.int64)  # the row of the first document here with the hash
-        for row in range(len(slots) - 1, -1, -1):
-            owner[slots[row]] = row
+        table = table.sort_by([("doc_id", "ascending"), ("turn", "ascending")])
+        c = _arranged(table, window, ranges)
+        late = np.zeros(len(c.hashes), dtype=bool)
+        for r, places in zip(flags.column("range").to_pylist(), flags.column("late"), strict=True):
+            late[c.sent[c.offsets[r] + places.values.to_numpy()]] = True
+        late = late[c.lead] | (c.docs > c.docs[c.lead])
         out: list[list] = [[], [], [], [], []]
-        for row, (text, slot) in enumerate(zip(table.column("text"), slots, strict=True)):
-            raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            buf = np.frombuffer(raw, dtype=np.uint8)
-            starts, ends = word_bounds(buf)
-            hit = early[slot] | (ids[owner[slot]] < ids[row]) if len(slot) else np.zeros(0, bool)
-            step = np.zeros(len(starts) + 1, dtype=np.int8)
+        for text, hit in zip(table.column("text"), np.split(late, np.cumsum(c.sizes)[:-1]), strict=True):
+            raw = _raw(text)
+            left = raw.split()
+            step = np.zeros(len(left) + 1, dtype=np.int8)
             step[: len(hit)] += hit
             step[window : window + len(hit)] -= hit
             gone = np.cumsum(step[:-1], dtype=np.int64) > 0
             edge = np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))
             spans = [{"start": int(a), "end": int(b)} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
-            left = raw.split()
             kept = b" ".join(w for w, g in zip(left, gone.tolist(), strict=True) if not g) if spans else b" ".join(left)
-            for column, value in zip(out, (len(starts), int(gone.sum()), spans, kept.decode("utf-8", "replace"), hashlib.sha256(kept).hexdigest()), strict=True):
+            for column, value in zip(out, (len(left), int(gone.sum()), spans, kept.decode("utf-8", "replace"), hashlib.sha256(kept).hexdigest()), strict=True):
                 column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string(), pa.string())
         return pa.Table.from_arrays([table.column("doc_id"), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], ["doc_id", "n_words", "n_removed", "spans", "kept_text", "kept_sha256"])
 
-    packed = rows.groupBy("chunk").applyInArrow(pack, _PACKED).repartition(buckets, "bucket")
-    flags = packed.groupBy("bucket").applyInArrow(count, _FLAGS)
     return rows.groupBy("chunk").cogroup(flags.groupBy("chunk")).applyInArrow(remove, _RESULT)
-

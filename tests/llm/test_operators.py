@@ -56,14 +56,28 @@ def test_line_index_levels(spark, documents):
     assert index.runs().count() == line_dedup.hashed_lines(documents).select("lo", "hi").distinct().count()
 
 
-@pytest.mark.parametrize("chunks", [None, 1, 5])
-def test_substring_dedup(docs, chunks):
-    got = substring_dedup.remove_repeats(docs, chunks=chunks).collect()
+@pytest.mark.parametrize(("chunks", "ranges"), [(None, None), (1, 1), (5, 300)])
+def test_substring_dedup(docs, chunks, ranges):
+    got = substring_dedup.remove_repeats(docs, chunks=chunks, ranges=ranges).collect()
     assert by_id(got, "n_words", "n_removed", "kept_sha256") == ordered(brute.substring_dedup(texts(docs)))
     for r in got:
         assert sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"]
 
 
+def test_substring_dedup_of_shared_passages(spark):
+    """Passages in every document, inside one document, and in different texts under one id."""
+    import random
+
+    rng = random.Random(2)
+    say = lambda n: " ".join(f"v{rng.randrange(300)}" for _ in range(n))
+    hot, other = say(60), say(55)
+    rows = [(k % 40, f"{say(rng.randint(0, 30))} {hot} {say(5)}") for k in range(60)] + [(k, f"{other} {other} {say(9)}") for k in (7, 7, 90, 91)] + [(None, hot), (95, other[: len(other) // 2])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    for chunks, ranges in ((None, None), (30, 3)):
+        got = substring_dedup.remove_repeats(docs, chunks=chunks, ranges=ranges).collect()
+        assert by_id(got, "n_words", "n_removed", "kept_sha256") == ordered(brute.substring_dedup(rows))
+
+
 @pytest.mark.parametrize("dense", [512, 1])
 def test_simhash(docs, dense, monkeypatch):
     monkeypatch.setattr(simhash_dedup.links, "__defaults__", (3, dense))
