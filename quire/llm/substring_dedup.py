@@ -15,15 +15,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._text import window_hashes, word_bounds, word_hashes
 
 WINDOW = 50
 CHUNK_BYTES = 4 << 20
-RANGE_BYTES = 4 << 20
-MOST_RANGES = 1 << 14
+RANGE_BYTES = 16 << 20
+MOST_RANGES = 1 << 15
 _PACKED = "chunk int, range int, key array<bigint>, doc array<bigint>"
 _RESULT = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept_text string, kept_sha256 string"
 
@@ -65,6 +65,16 @@ def _arranged(table: pa.Table, width: int, ranges: int) -> _Chunk:
     return _Chunk(sizes, hashes, docs, lead, firsts[np.argsort(spot, kind="stable")], np.searchsorted(np.sort(spot), np.arange(ranges + 1)))
 
 
+def _labels(spark: SparkSession, n: int) -> np.ndarray:
+    """Integers of which a shuffle by hash into ``n`` partitions sends the k-th to the k-th, so that none gets two."""
+    ids = spark.range(64 * n).select(F.col("id").cast("int").alias("id"))
+    rows = ids.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("k")).agg(F.min("id").alias("id")).collect()
+    out = np.arange(64 * n, 65 * n, dtype=np.int32)
+    for r in rows:
+        out[r["k"]] = r["id"]
+    return out
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, chunks: int | None = None, ranges: int | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, spans, kept_text, kept_sha256``.
 
@@ -73,7 +83,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts of fewer words than a window, blank and NULL texts lose nothing.  Windows repeated inside one
     document, or in rows with the same id, stay.  Rows with a NULL id neither give nor lose words.
     By default there is a chunk for every ``CHUNK_BYTES`` of text and a range for every ``RANGE_BYTES``, at most
-    ``MOST_RANGES``, so packed rows grow with the input and a task's memory does not; one text is always
+    ``MOST_RANGES``, so packed rows grow with the input and a task's memory does not (beyond half a TB a range grows, and sorts on disk); one text is always
     held whole.  The result depends on neither.  Equal 64-bit hashes count as equal windows.  Other
     columns are ignored.
     """
@@ -82,16 +92,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         chunks, ranges = chunks or max(8, -(-size // CHUNK_BYTES)), ranges or min(MOST_RANGES, max(8, -(-size // RANGE_BYTES)))
     rows = rows.withColumn("turn", F.xxhash64("doc_id", "text")).withColumn("chunk", F.pmod("turn", F.lit(chunks)).cast("int"))
-    rows = rows.repartition(max(8, chunks // 4), "chunk")
+    rows, labels = rows.repartition(max(8, chunks // 4), "chunk"), _labels(docs.sparkSession, ranges)
 
     def pack(table: pa.Table) -> pa.Table:
         c = _arranged(table.sort_by([("doc_id", "ascending"), ("turn", "ascending")]), window, ranges)
         used = np.flatnonzero(np.diff(c.offsets))
         offsets = pa.array(np.append(c.offsets[used], len(c.sent)), pa.int32())
         lists = [pa.ListArray.from_arrays(offsets, pa.array(x[c.sent])) for x in (c.hashes.view(np.int64), c.docs)]
-        return pa.Table.from_arrays([pa.array([table.column("chunk")[0].as_py()] * len(used), pa.int32()), pa.array(used.astype(np.int32)), *lists], ["chunk", "range", "key", "doc"])
+        return pa.Table.from_arrays([pa.array([table.column("chunk")[0].as_py()] * len(used), pa.int32()), pa.array(labels[used]), *lists], ["chunk", "range", "key", "doc"])
 
-    packed = rows.groupBy("chunk").applyInArrow(pack, _PACKED).repartition(max(8, ranges // 4), "range")
+    packed = rows.groupBy("chunk").applyInArrow(pack, _PACKED).repartition(ranges, "range")
     each = packed.select("chunk", "range", F.posexplode(F.arrays_zip("key", "doc")).alias("at", "x")).select("chunk", "range", "at", "x.key", "x.doc")
     first = F.min("doc").over(Window.partitionBy("key", "range"))
     flags = each.withColumn("first", first).where("doc > first").groupBy("chunk", "range").agg(F.collect_list("at").alias("late"))
@@ -100,8 +110,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         table = table.sort_by([("doc_id", "ascending"), ("turn", "ascending")])
         c = _arranged(table, window, ranges)
         late = np.zeros(len(c.hashes), dtype=bool)
+        begins = dict(zip(labels.tolist(), c.offsets.tolist(), strict=False))
         for r, places in zip(flags.column("range").to_pylist(), flags.column("late"), strict=True):
-            late[c.sent[c.offsets[r] + places.values.to_numpy()]] = True
+            late[c.sent[begins[r] + places.values.to_numpy()]] = True
         late = late[c.lead] | (c.docs > c.docs[c.lead])
         out: list[list] = [[], [], [], [], []]
         for text, hit in zip(table.column("text"), np.split(late, np.cumsum(c.sizes)[:-1]), strict=True):
