@@ -27,7 +27,7 @@ PER_ROUND = 200
 SURE = 0.97
 THRESHOLD = 0.5
 BINS = 8
-_HASHED = 32
+_SOURCES, _LANGS = 256, 64  # hash slots
 _CLASS = np.zeros(256, dtype=np.uint8)
 for _k, _set in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\n", b".,;:'\"-()", b"!?", b"|", b"#*$%&<>=+~^_@/\\{}[]`"), 1):
     _CLASS[list(_set)] = _k
@@ -53,57 +53,73 @@ def content_view(text: str | None) -> np.ndarray:
 
 def metadata_view(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
     """Hashed source and language, and the recorded length."""
-    out = np.zeros(2 * _HASHED + 2)
-    out[zlib.crc32(f"s{source}".encode("utf-8", "surrogatepass")) % _HASHED] = 1
-    out[_HASHED + zlib.crc32(f"l{lang}".encode("utf-8", "surrogatepass")) % _HASHED] = 1
+    out = np.zeros(_SOURCES + _LANGS + 2)
+    out[zlib.crc32(f"s{source}".encode("utf-8", "surrogatepass")) % _SOURCES] = 1
+    out[_SOURCES + zlib.crc32(f"l{lang}".encode("utf-8", "surrogatepass")) % _LANGS] = 1
     out[-2:] = np.log1p(max(0, n_chars or 0)), n_chars is None
     return out
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _logistic(a: np.ndarray, t: np.ndarray, ridge: float | np.ndarray) -> np.ndarray:
+    """Penalised logistic regression by Newton steps, halved while they do not lower the loss."""
+    w, ridge = np.zeros(a.shape[1]), ridge * np.ones(a.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        z = a @ w
+        return float((np.logaddexp(0, z) - t * z).sum() + (ridge * w * w).sum() / 2)
+
+    now = loss(w)
+    for _ in range(50):
+        p = _sigmoid(a @ w)
+        step = np.linalg.solve((a * (p * (1 - p) + 1e-6)[:, None]).T @ a + np.diag(ridge), a.T @ (t - p) - ridge * w)
+        while (new := loss(w + step)) > now and np.abs(step).max() > 1e-9:
+            step /= 2
+        w, now, done = w + step, new, now - new < 1e-9 * (1 + now)
+        if done:
+            break
+    return w
+
+
 @dataclass
 class View:
     """Logistic regression over the features and their quantile bins."""
 
     mean: np.ndarray
     spread: np.ndarray
-    cuts: np.ndarray  # features x BINS - 1
+    graded: np.ndarray  # features with more than two values, which are binned
+    cuts: np.ndarray  # graded features x BINS - 1
     weights: np.ndarray
     slope: float = 1.0
     shift: float = 0.0
 
     @staticmethod
     def shaped(x: np.ndarray) -> View:
-        cuts = np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-        return View(x.mean(axis=0), x.std(axis=0) + 1e-9, cuts, np.zeros(0))
+        graded = np.array([k for k in range(x.shape[1]) if len(np.unique(x[:, k])) > 2], dtype=np.int64)
+        cuts = np.quantile(x[:, graded], np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
+        return View(x.mean(axis=0), x.std(axis=0) + 1e-9, graded, cuts, np.zeros(0))
 
     def expand(self, x: np.ndarray) -> np.ndarray:
-        steps = (x[:, :, None] > self.cuts[None]).reshape(len(x), -1)
+        steps = (x[:, self.graded, None] > self.cuts[None]).reshape(len(x), -1)
         return np.concatenate((np.clip((x - self.mean) / self.spread, -8, 8), steps, np.ones((len(x), 1))), axis=1)
 
     def fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> None:
-        a = self.expand(x)
-        w, keep = np.zeros(a.shape[1]), ridge * np.eye(a.shape[1])
-        for _ in range(25):
-            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-            step = np.linalg.solve((a * (p * (1 - p) + 1e-6)[:, None]).T @ a + keep, a.T @ (y - p) - ridge * w)
-            w += step
-            if np.abs(step).max() < 1e-6:
-                break
-        self.weights = w
+        self.weights = _logistic(self.expand(x), y, ridge)
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         return self.expand(x) @ self.weights
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Platt scaling with smoothed targets."""
+        """Platt scaling with smoothed targets; the penalty keeps a view that knows nothing near the prior."""
         z, good = np.clip(self.raw(x), -30, 30), y.sum()
         t = np.where(y > 0, (good + 1) / (good + 2), 1 / (len(y) - good + 2))
-        a = np.stack((z, np.ones(len(z))), axis=1)
-        w = np.array([1.0, 0.0])
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-            w += np.linalg.solve((a * (p * (1 - p) + 1e-6)[:, None]).T @ a + 1e-3 * np.eye(2), a.T @ (t - p))
-        self.slope, self.shift = float(max(w[0], 0.0)), float(w[1])
+        slope, shift = _logistic(np.stack((z, np.ones(len(z))), axis=1), t, np.array([1.0, 1e-3]))
+        self.slope, self.shift = float(max(slope, 0.0)), float(shift)
+        if slope < 0:  # the view orders documents the wrong way round: the prior alone
+            self.shift = float(np.log(t.mean() / (1 - t.mean())))
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return self.slope * np.clip(self.raw(x), -30, 30) + self.shift
@@ -121,7 +137,7 @@ class QualityModel:
         if self.content is None or self.metadata is None:
             return np.ones(len(content))
         z = self.content.logit(content) + self.metadata.logit(metadata) - self.prior
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return _sigmoid(z)
 
 
 def co_train(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_content: np.ndarray, pool_metadata: np.ndarray, rounds: int = ROUNDS, per_round: int = PER_ROUND, sure: float = SURE) -> QualityModel:
@@ -142,7 +158,7 @@ def co_train(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_cont
             rows = np.flatnonzero(free)
             if not len(rows):
                 continue
-            p = 1 / (1 + np.exp(-views[me].logit(pools[me][rows])))
+            p = _sigmoid(views[me].logit(pools[me][rows]))
             order = np.argsort(-np.abs(p - 0.5), kind="stable")
             picked = [i for i in order if max(p[i], 1 - p[i]) >= sure][:per_round]
             if picked:
@@ -175,7 +191,8 @@ def _views(batch: pa.RecordBatch, at: int = 0) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, pool: int = POOL) -> QualityModel:
     """Learn from at most ``sample`` labelled and ``pool`` unlabelled documents, each chosen by a hash of the id.
 
-    NULL labels and ids are left out; of contradicting labels the lowest counts.
+    NULL labels and ids are left out; of contradicting labels the lowest counts, and of several rows with one
+    id the one with the least views, so what is collected is bounded by the two parameters.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("_pick")).agg(F.min(F.col(label_col).cast("double")).alias("_y"))
     few = known.orderBy(F.xxhash64("_pick"), "_pick").limit(sample)
@@ -189,8 +206,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             content, metadata = _views(batch, 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(content), pa.list_(pa.float64())), pa.array(list(metadata), pa.list_(pa.float64()))], ["y", "doc_id", "content", "metadata"])
 
-    got = rows.mapInArrow(view, "y double, doc_id bigint, content array<double>, metadata array<double>").collect()
-    got.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["content"]))
+    seen = rows.mapInArrow(view, "y double, doc_id bigint, content array<double>, metadata array<double>")
+    got = seen.groupBy("doc_id").agg(F.min(F.struct("content", "metadata", "y")).alias("x")).select("doc_id", "x.*").collect()
+    got.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
     marked, free = [r for r in got if r["y"] is not None], [r for r in got if r["y"] is None]
     wide = (len(content_view("")), len(metadata_view(None, None, None)))
     def matrix(rows, name, n):
@@ -202,7 +220,7 @@ def classify(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_
     """One row per document: ``doc_id, score, kept``; score is the probability of good quality.
 
     NULL and empty texts are scored as texts without words; missing or NULL metadata counts as unknown.
-    Repeated rows are scored each.  Columns other than text, source, lang and n_chars are ignored.
+    A score equal to the threshold keeps.  Repeated rows are scored each; an empty table gives no rows.  Columns other than text, source, lang and n_chars are ignored.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

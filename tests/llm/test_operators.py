@@ -195,6 +195,41 @@ def test_quality_rules_separate_junk(spark):
     assert sum(bad) / len(bad) < 0.2 and sum(good) / len(good) > 0.7
 
 
+def test_quality_rules_on_held_out_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet").withColumn("k", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3)
+    rules = quality_rules.fit(docs, labels.where("k > 0").drop("k"))
+    held = docs.join(labels.where("k = 0").select("doc_id", "quality"), "doc_id")
+    got = quality_rules.judge(quality_rules.statistics(held, carry=("quality",)), rules).where("not base_failed").select("carried.quality", "kept").collect()
+    good, bad = ([r["kept"] for r in got if r["quality"] == q] for q in (1, 0))
+    assert rules and sum(good) / len(good) > 0.98 and sum(bad) / len(bad) < 0.1
+
+
+def test_quality_rules_emit_what_they_learned(docs):
+    conditions = [("words", True, 5.0), ("repeated_share", False, 0.9), ("capitals_per_char", True, 0.01), ("symbols_per_word", True, 0.0)]
+    made = [quality_rules.Condition(*c) for c in conditions]
+    rules = [quality_rules.Rule((made[0], made[2]), 1.0, 9), quality_rules.Rule((made[1], made[3]), 1.0, 9)]
+    stats = quality_rules.statistics(docs)
+    rows = quality_rules.judge(stats, rules).select("*", *(F.expr(e).cast("double").alias(f"f_{n}") for n, e in quality_rules.FEATURES.items())).collect()
+    for r in rows:
+        fits = [k for k in rules if k.holds({n: r[f"f_{n}"] for n in quality_rules.FEATURES})]
+        assert r["rule"] == ("base" if r["base_failed"] else str(fits[0]) if fits else None) and r["kept"] == (r["rule"] is None)
+
+
+def test_quality_rules_count_an_id_once(spark):
+    text = lambda k: " ".join(f"w{(k * j) % 97}" for j in range(60 + k))
+    docs = spark.createDataFrame([(k % 50, text(k)) for k in range(200)] + [(None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k % 50, k % 2) for k in range(60)], "doc_id bigint, quality int")
+    twice = labels.union(labels).union(spark.createDataFrame([(None, 0), (3, None)], "doc_id bigint, quality int"))
+    assert quality_rules.fit(docs, labels) == quality_rules.fit(docs.union(docs), twice)
+
+
+def test_repeated_windows_that_share_hash_bits(spark):
+    rows = [(1, "a b c x a b c"), (2, "a b a b a b"), (3, "a a a"), (4, "a a a a"), (5, " ".join(f"w{k}" for k in range(40_000)) + " w7 w8 w9"), (6, "a b"), (7, None)]
+    got = quality_rules.statistics(spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("carried", F.lit(1))).collect()
+    assert {r["doc_id"]: r["n_repeat_words"] for r in got} == {d: brute.quality(t)[4] for d, t in rows}
+
+
 def test_quality_rules_without_labels(odd_docs, spark):
     assert quality_rules.fit(odd_docs, spark.createDataFrame([], "doc_id bigint, quality int")) == []
     assert quality_rules.fit(odd_docs, spark.createDataFrame([(None, 1), (1, None), (2, 0)], "doc_id bigint, quality int")) in ([],)
@@ -261,6 +296,42 @@ def test_language(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_languages_that_are_rare(spark):
+    """A language of 6 rows in 6,000 is learned and found; held-out rows and other columns play no part."""
+    import random
+
+    rng = random.Random(4)
+    alphabets = {"aa": "abcdefgh", "bb": "ijklmnop", "cc": "\u03b1\u03b2\u03b3\u03b4"}
+    say = lambda g: " ".join("".join(rng.choice(alphabets[g]) for _ in range(5)) for _ in range(12))
+    rows = [(k, "cc" if k % 1000 == 7 else "aa" if k % 2 else "bb") for k in range(6000)]
+    rows = [(k, say(g), g, "src") for k, g in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    model = language_id.fit(docs)
+    assert model.langs == ["aa", "bb", "cc"]
+    got = language_id.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert [g for g in ("aa", "bb", "cc") if any(r["lang"] == g != r["lang_pred"] for r in got)] == []
+    again = language_id.fit(docs.union(docs).withColumn("lang", F.when(language_id.held_out(), "zz").otherwise(F.col("lang"))))
+    assert again.langs == model.langs
+
+
+def test_numbers_are_not_letters(spark):
+    texts = ["\u00b2 \u00bd \u2460 \u2167", "12_3", "\u0661", "\u00e9", "\u4e2d", "x" * 3, None, "", "\u00b2a", "\u02b0"]
+    want = [False, False, False, True, True, True, False, False, True, True]
+    assert [language_id.has_letter(t) for t in texts] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("lang", F.lit("en"))
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, language_id.fit(docs)).collect()}
+    assert got == {k: "en" if w else "und" for k, w in enumerate(want)}
+
+
+def test_language_ties_and_repeated_rows(spark):
+    import numpy as np
+
+    flat = language_id.LanguageModel(["aa", "bb"], np.zeros((language_id.BUCKETS, 2), np.float32), np.zeros(2, np.float32), 1.0, 0.5)
+    docs = spark.createDataFrame([(1, "word"), (1, "word"), (None, "word"), (2, None)], "doc_id bigint, text string").withColumn("score", F.lit("x"))
+    got = sorted(map(str, language_id.identify(docs, flat).select("doc_id", "lang_pred", "score").collect()))
+    assert got == sorted(map(str, spark.createDataFrame([(1, "aa", 0.5), (1, "aa", 0.5), (None, "aa", 0.5), (2, "und", 0.0)], "doc_id bigint, lang_pred string, score double").collect()))
+
+
 def test_language_of_odd_rows(odd_docs, no_docs):
     model = language_id.fit(odd_docs)
     got = by_id(language_id.identify(odd_docs, model).collect(), "lang_pred", "score", "held_out")
@@ -324,6 +395,57 @@ def test_quality_classifier(spark):
     assert kept.columns == docs.columns and kept.count() == sum(got.values())
 
 
+def test_quality_classifier_on_held_out_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet").withColumn("k", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3)
+    model = quality_classifier.fit(docs, labels.where("k > 0"))
+    got = quality_classifier.classify(docs, model).join(labels.where("k = 0"), "doc_id").collect()
+    right = [r["kept"] == (r["quality"] == 1) for r in got]
+    good = [r["kept"] for r in got if r["quality"] == 1]
+    assert sum(right) / len(right) > 0.95 and sum(good) / len(good) > 0.97
+
+
+def test_co_training_beats_either_view():
+    import numpy as np
+
+    def area(score, y):
+        place = np.argsort(np.argsort(score))
+        n = y.sum()
+        return (place[y > 0].sum() - n * (n - 1) / 2) / (n * (len(y) - n))
+
+    gains = []
+    for seed in range(5):
+        rng = np.random.default_rng(seed)
+        y = (rng.random(6000) < 0.6).astype(float)
+        views = [np.concatenate((y[:, None] * 2 + rng.normal(0, 1, (6000, 1)), rng.normal(0, 1, (6000, 8))), axis=1) for _ in range(2)]
+        known, pool, test = slice(0, 80), slice(80, 4000), slice(4000, 6000)
+        alone, both = (quality_classifier.co_train(views[0][known], views[1][known], y[known], views[0][pool], views[1][pool], rounds=k) for k in (0, 5))
+        singles = [area(alone.content.logit(views[0][test]), y[test]), area(alone.metadata.logit(views[1][test]), y[test])]
+        gains.append((area(both.score(views[0][test], views[1][test]), y[test]) - max(singles), area(both.content.logit(views[0][test]), y[test]) - singles[0]))
+    assert min(g for g, _ in gains) > 0 and sum(g for _, g in gains) > 0
+
+
+def test_a_view_that_knows_nothing_does_no_harm():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    y = (rng.random(3000) < 0.85).astype(float)
+    sure, noise = y[:, None] + rng.normal(0, 0.1, (3000, 1)), rng.normal(0, 1, (3000, 30))
+    for few in (40, 200):
+        model = quality_classifier.co_train(sure[:few], noise[:few], y[:few], sure[few:2000], noise[few:2000])
+        assert ((model.score(sure[2000:], noise[2000:]) >= 0.5) == (y[2000:] > 0)).mean() > 0.95
+
+
+def test_quality_classifier_ties_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(k % 60, f"w{k} " * (k % 60 + 3), "s") for k in range(240)], "doc_id bigint, text string, source string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id bigint, quality int")
+    one, two = (quality_classifier.fit(d, labels) for d in (docs, docs.union(docs).repartition(3)))
+    rows = [sorted(map(str, quality_classifier.classify(docs, m).collect())) for m in (one, two)]
+    assert rows[0] == rows[1]
+    one.threshold = quality_classifier.classify(docs, one).first()["score"]
+    assert quality_classifier.classify(docs, one).where(F.col("score") == one.threshold).where("not kept").count() == 0
+
+
 def test_quality_classifier_on_odd_rows(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([(1, 1), (None, 0), (2, None), (4, 0)], "doc_id bigint, quality int")
     model = quality_classifier.fit(odd_docs, labels)
