@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 13
@@ -27,12 +27,16 @@ RATE = 0.5
 BATCH = 32
 RECALL = 0.995
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_PLAIN = re.compile(r"[A-Za-z]")
+_MAYBE = re.compile(r"[^\W\d_]+")  # letters, and numbers such as superscripts
 _SLICE = 1 << 20
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether the text holds a character of Unicode's letter categories."""
+    if not text:
+        return False
+    return _PLAIN.search(text) is not None or any(c.isalpha() for m in _MAYBE.finditer(text) for c in m[0])
 
 
 def ngram_counts(text: str, buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS) -> np.ndarray:
@@ -130,13 +134,37 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _quotas(sizes: list[tuple[str, int]], sample: int) -> dict[str, int]:
+    """How many documents of each language are learned from: half the sample in equal parts, half by size.
+
+    Adds up to ``sample`` at most.  Languages beyond the ``sample // 4`` most frequent are not learned.
+    """
+    sizes = sizes[: max(1, sample // 4)]
+    total = sum(n for _, n in sizes)
+    return {lang: sample // 2 // len(sizes) + sample // 2 * n // total for lang, n in sizes}
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, buckets: int = BUCKETS) -> LanguageModel:
-    """Train on at most ``sample`` documents, chosen by a hash of the id, that have a language, a letter and
-    are not held out."""
-    known = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col))
-    few = known.select(F.col(id_col).cast("bigint").alias("_pick")).distinct().orderBy(F.xxhash64("_pick"), "_pick").limit(sample)
+    """Train on at most ``sample`` documents that have a language, a letter and are not held out.
+
+    Each language has its own quota, so a rare one is learned too; within a language a hash of the id
+    chooses.  An id counts once, with the least of its rows' languages and texts.
+    """
+    known = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col) & F.col(text_col).rlike(r"\p{L}"))
     rows = known.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = rows.join(F.broadcast(few), F.col("doc_id") == F.col("_pick")).select("doc_id", "text", "lang")
+    turn = F.xxhash64("doc_id")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("doc_id").alias("ids"))
+    sizes = [(r["lang"], r["n"], r["ids"]) for r in sizes.orderBy(F.desc("n"), "lang").limit(max(1, sample // 4)).collect()]
+    quotas = _quotas([(g, n) for g, n, _ in sizes], sample) if sizes else {}
+    # Twice the quota's share of the hash space, and some more, holds the quota's smallest hashes but for astronomically rare luck.
+    edge = [(g, int(min(1.0, (2 * quotas[g] + 50) / max(1, ids)) * (1 << 63)) * 2 - (1 << 63)) for g, _, ids in sizes]
+    spark = docs.sparkSession
+    edges = spark.createDataFrame([(g, min(e, (1 << 63) - 1), quotas[g]) for g, e in edge], "_lang string, _edge bigint, _quota int")
+    near = rows.select("doc_id", "lang").join(F.broadcast(edges), F.col("lang") == F.col("_lang")).where(turn <= F.col("_edge")).groupBy("doc_id").agg(F.min(F.struct("lang", "_quota")).alias("x"))
+    place = F.row_number().over(Window.partitionBy("x.lang").orderBy(turn, "doc_id"))
+    few = near.withColumn("place", place).where("place <= x._quota").select(F.col("doc_id").alias("_pick"), F.col("x.lang").alias("_lang"))
+    rows = rows.join(F.broadcast(few), (F.col("doc_id") == F.col("_pick")) & (F.col("lang") == F.col("_lang")))
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,8 +172,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             yield pa.RecordBatch.from_arrays([pa.array([g for _, _, g in got], pa.string()), pa.array([i for i, _, _ in got], pa.int64()), pa.array([c.astype(np.uint32).tobytes() for _, c, _ in got], pa.binary())], ["lang", "doc_id", "counts"])
 
     got = rows.mapInArrow(count, "lang string, doc_id bigint, counts binary").collect()
-    got.sort(key=lambda r: (hash_id(r["doc_id"]), r["doc_id"], r["lang"], r["counts"]))
-    del got[2 * sample :]
+    got.sort(key=lambda r: (hash_id(r["doc_id"]), r["doc_id"]))
     names, x = [r["lang"] for r in got], np.empty((len(got), buckets), dtype=np.float32)
     for k in reversed(range(len(got))):
         x[k] = np.frombuffer(got.pop()["counts"], np.uint32)
@@ -160,8 +187,9 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     """One row per document: ``doc_id, held_out, lang_pred, score, accepted``.
 
     ``und`` with score 0 marks a NULL text or one without a letter.  ``accepted`` is false below the
-    calibrated threshold; callers that reject treat those as ``und`` too.  Repeated rows are judged each;
-    a NULL id is not held out.  Other columns are ignored.
+    calibrated threshold; callers that reject treat those as ``und`` too.  Of equal scores the first language
+    by code point wins.  A text is read whole, in slices.  Repeated rows are judged each; a NULL id is not
+    held out; an empty table gives no rows.  Other columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages floats
 
