@@ -11,12 +11,13 @@ from __future__ import annotations
 import bisect
 import math
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._native import words
+from ._native import total, words
 from ._text import BLANK, WORD
 
 SAMPLE = 20_000
@@ -36,51 +37,52 @@ FEATURES = {
     "repeated_share": "n_repeat_words / greatest(n_words, 1)",
     "repeated_lines": "cast(n_dup_lines as double)",
 }
-_PACKED = 1 << 24
 
 
-def _repeat_words(ws: Column, width: int = 3) -> tuple[Column, Column]:
-    """The hashes of all windows, and from the packed and sorted column ``_ranked`` the words in repeated windows."""
+def _repeated(ws: Column, width: int = 3) -> Column:
+    """How many words lie in windows of ``width`` words that occur twice or more in the array.
+
+    Windows are pairs of a 64-bit hash and a place, sorted whole: equal windows are neighbours.
+    """
     n = F.size(ws)
-    hashed = F.when(n >= width, F.transform(F.sequence(F.lit(0), n - width), lambda i: F.xxhash64(*(F.get(ws, i + k) for k in range(width)))))
-    return F.coalesce(hashed, F.array().cast("array<bigint>")), n
+    window = lambda h, i: F.struct(F.xxhash64(*(F.get(h, i + k) for k in range(width))).alias("h"), i.alias("at"))
+    pairs = _bound(F.transform(ws, lambda w: F.xxhash64(w)), lambda h: F.transform(F.sequence(F.lit(0), n - width), lambda i: window(h, i)))
+
+    def again(p: Column, j: Column, ranked: Column) -> Column:
+        return F.coalesce(F.get(ranked, j - 1)["h"] == p["h"], F.lit(False)) | F.coalesce(F.get(ranked, j + 1)["h"] == p["h"], F.lit(False))
+
+    hits = _bound(F.sort_array(pairs), lambda ranked: F.sort_array(F.transform(F.filter(ranked, lambda p, j: again(p, j, ranked)), lambda p: p["at"])))
+    # Sorted places of repeated windows: each covers its words less those its predecessor covered.
+    fresh = _bound(hits, lambda at: F.transform(at, lambda p, j: F.least(F.lit(width), p - F.coalesce(F.get(at, j - 1), F.lit(-width)))))
+    return F.when(n >= width, total(fresh)).otherwise(F.lit(0))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_marks, n_capitals``.
 
-    A NULL text has no words and zeros throughout.  Columns named in ``carry`` come along.
+    A NULL or blank text has zeros throughout; a NULL id stays NULL.  Repeated rows are counted each, an empty
+    table gives none.  A text is held whole, whatever its length, and sorted in O(n log n).  Columns named in
+    ``carry`` come along in the struct ``carried``, where their names can't clash; others are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     blanks = F.regexp_count(text, F.lit(BLANK))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    more = [F.struct(*carry).alias("carried")] if carry else []
     base = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), words(text).alias("_w"),
         (F.char_length(text) - blanks).cast("bigint").alias("word_chars"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         F.regexp_count(text, F.lit(r"[!?=~^_@]")).cast("bigint").alias("n_marks"),
         F.regexp_count(text, F.lit(r"\p{Lu}")).cast("bigint").alias("n_capitals"),
-        lines.alias("_lines"), *carry,
-    )
-    hashed, n = _repeat_words(F.col("_w"))
-    base = base.select("doc_id", n.cast("bigint").alias("n_words"), "word_chars", "n_symbols", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"), "n_marks", "n_capitals", hashed.alias("_h"), *carry)
-    # A window is the upper 40 bits of its hash and its place in one sortable number; texts of 2**24 words and more sort pairs.
-    packed = F.array_sort(F.transform("_h", lambda h, i: h.bitwiseAND(F.lit(-_PACKED)) + i))
-    pairs = F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.cast("bigint").alias("at"))))
-    base = base.withColumn("_ranked", F.when(F.size("_h") < _PACKED, F.transform(packed, lambda x: x.bitwiseAND(F.lit(_PACKED - 1)))).otherwise(F.transform(pairs, lambda p: p["at"])))
-    at = F.col("_ranked")
-
-    def again(place: Column, j: Column) -> Column:
-        h = F.get(F.col("_h"), place.cast("int"))
-        return (F.get(F.col("_h"), F.get(at, j - 1).cast("int")) == h) | (F.get(F.col("_h"), F.get(at, j + 1).cast("int")) == h)
-
-    base = base.withColumn("_hit", F.array_sort(F.filter(at, lambda p, j: F.coalesce(again(p, j), F.lit(False)))))
-    # Sorted starts of repeated windows: each covers its three words less those its predecessor covered.
-    hit = F.col("_hit")
-    covered = F.aggregate(
-        F.transform(hit, lambda p, j: F.when(j == 0, F.lit(3)).otherwise(F.least(F.lit(3), (p - F.get(hit, j - 1)).cast("int")))), F.lit(0), lambda a, b: a + b
+        _bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"), *more,
     )
-    return base.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.cast("bigint").alias("n_repeat_words"), "n_marks", "n_capitals", *carry)
+    kept = ["carried"] if carry else []
+    return base.select("doc_id", F.size("_w").cast("bigint").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", _repeated(F.col("_w")).cast("bigint").alias("n_repeat_words"), "n_marks", "n_capitals", *kept)
 
 
 @dataclass(frozen=True)
@@ -177,14 +179,15 @@ def learn(rows: list[tuple[dict[str, float], bool]], precision: float = PRECISIO
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> list[Rule]:
     """Learn from at most ``sample`` labelled documents, chosen by a hash of their ids.
 
-    NULL labels and ids are left out; contradicting labels of one id all count.  Without labels of both
-    kinds the list is empty and everything is kept.
+    NULL labels and ids are left out.  An id counts once: contradicting labels as bad, and of several texts
+    the one with the smallest statistics.  Without labels of both kinds the list is empty and everything is kept.
     """
-    few = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("_id"), (F.col(label_col) == 0).alias("_bad"))
-    few = few.orderBy(F.xxhash64("_id"), "_id", "_bad").limit(sample)
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("_id")).agg((F.min(label_col) == 0).alias("_bad"))
+    few = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     joined = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
     facts = statistics(joined, carry=("_bad",))
-    got = facts.where("n_words > 0").select(F.col("_bad").alias("bad"), *(F.expr(e).cast("double").alias(n) for n, e in FEATURES.items())).collect()
+    once = facts.where("n_words > 0").groupBy("doc_id").agg(F.min(F.struct("n_words", "word_chars", "n_symbols", "n_marks", "n_capitals", "n_dup_lines", "n_repeat_words", "carried")).alias("x")).select("x.*")
+    got = once.select(F.col("carried._bad").alias("bad"), *(F.expr(e).cast("double").alias(n) for n, e in FEATURES.items())).collect()
     return learn([({n: float(r[n]) for n in FEATURES}, bool(r["bad"])) for r in got])
 
 
