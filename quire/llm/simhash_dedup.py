@@ -7,8 +7,9 @@ segment on *every* chain of l consecutive segments differs in at most floor(3 l
 So one segment matches exactly and its successor within one bit, which leaves three of the successor's
 four nibbles exact: candidates meet on 28 equal bits.  The remaining chain budgets prune them before the
 full Hamming check.  Equal fingerprints are one vertex, so groups of copies cost one row.  Keys shared by
-more than ``DENSE`` different fingerprints are refined by one more exact byte (of the 32 bits of the last
-two segments some byte must match), which is exact too; the pairs of a group are never listed unchecked.
+more than ``DENSE`` different fingerprints are refined by a quarter of all bits, up to six times; some quarter
+must match each time, so that is exact too.  A fingerprint has at most 43,744 others within three bits,
+so the links grow with the fingerprints and not with the square of a group.
 """
 
 from __future__ import annotations
@@ -57,53 +58,58 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def _segment(fp, i: int):
-    return F.shiftrightunsigned(fp, 16 * (i % 4)).bitwiseAND(F.lit(0xFFFF))
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-def _keys(fps: DataFrame) -> DataFrame:
-    """Sixteen rows per fingerprint: start segment i, dropped nibble q of the next, and the 28 exact bits."""
-    rows = []
-    for i in range(4):
-        for q in range(4):
-            rest = _segment(F.col("fp"), i + 1).bitwiseAND(F.lit(0xFFFF ^ (0xF << 4 * q)))
-            rows.append(F.struct(F.lit(i).alias("i"), (F.lit((i * 4 + q) << 32) + F.shiftleft(_segment(F.col("fp"), i), 16) + rest).alias("key")))
-    return fps.select("fp", F.explode(F.array(*rows)).alias("k")).select("fp", "k.i", "k.key", F.lit(0).alias("extra"))
+def _first_masks() -> list[tuple[int, int]]:
+    """``(start segment, mask)``: a segment and three nibbles of its successor, 28 bits each."""
+    turn = lambda bits, i: (bits << 16 * i | bits >> 64 - 16 * i) & (1 << 64) - 1
+    return [(i, turn(0xFFFF | (0xFFFF ^ (0xF << 4 * q)) << 16, i)) for i in range(4) for q in range(4)]
+
 
+#: Ways to cut the 64 bits into four parts: three differing bits leave one part of each way equal.
+_PARTS = tuple(
+    tuple(_signed(sum(1 << b for b in range(64) if part(b) & 3 == k)) for k in range(4))
+    for part in (lambda b: b, lambda b: b >> 2, lambda b: b >> 4, lambda b: b + (b >> 2), lambda b: b + (b >> 4), lambda b: (b >> 2) + (b >> 4))
+)
 
-def _refined(keys: DataFrame) -> DataFrame:
-    """Four rows for each: one more exact byte out of the segments i+2 and i+3."""
-    rest = F.when(F.col("i") == 0, F.shiftrightunsigned("fp", 32)).when(F.col("i") == 1, F.shiftrightunsigned("fp", 48) + F.shiftleft(_segment(F.col("fp"), 0), 16))
-    rest = rest.when(F.col("i") == 2, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned("fp", 16).bitwiseAND(F.lit(0xFFFFFFFF)))
-    extra = [((F.shiftrightunsigned("rest", 8 * j).bitwiseAND(F.lit(0xFF))) + F.lit((j + 1) << 8)).cast("int") for j in range(4)]
-    return keys.withColumn("rest", rest).select("fp", "i", "key", F.explode(F.array(*extra)).alias("extra"))
+
+def _keys(fps: DataFrame) -> DataFrame:
+    """Sixteen rows per fingerprint: start segment, mask, and the fingerprint's bits under it."""
+    rows = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(_signed(m)).alias("mask")) for i, m in _first_masks()))
+    keys = fps.select("fp", F.explode(rows).alias("k")).select("fp", "k.i", "k.mask")
+    return keys.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
 
 
 def links(fps: DataFrame, radius: int = RADIUS, dense: int = DENSE) -> DataFrame:
-    """All pairs ``(a, b)``, a < b, of different fingerprints within ``radius`` bits (3 at most)."""
+    """All pairs ``(a, b)``, a < b, of different fingerprints within ``radius`` bits (3 at most).
+
+    A key that more than ``dense`` fingerprints share is refined by one part of the next of ``_PARTS``, so the
+    join compares few pairs that are not links; at the end a key leaves about six bits open.
+    """
     if not 0 <= radius <= 3:
         raise ValueError("the four-segment ring proves completeness for up to three bits")
-    keys = stored(_keys(fps), "ring-keys")
-    crowded = stored(keys.groupBy("key").count().where(F.col("count") > dense).select("key"), "ring-crowded")
-    if not crowded.isEmpty():
-        keys = keys.join(crowded, "key", "left_anti").select("fp", "i", "key", "extra").union(_refined(keys.join(crowded, "key", "left_semi").select("fp", "i", "key", "extra")))
-    a, b = keys.select(F.col("fp").alias("a"), "i", "key", "extra"), keys.select(F.col("fp").alias("b"), "key", "extra")
+    keys, done = stored(_keys(fps), "ring-keys"), []
+    for parts in _PARTS:
+        crowded = stored(keys.groupBy("mask", "key").count().where(F.col("count") > dense).select("mask", "key"), "ring-crowded")
+        if crowded.isEmpty():
+            break
+        done.append(keys.join(crowded, ["mask", "key"], "left_anti").select("fp", "i", "mask", "key"))
+        keys = keys.join(crowded, ["mask", "key"], "left_semi").select("fp", "i", F.explode(F.transform(F.lit(list(parts)), lambda p: F.col("mask").bitwiseOR(p))).alias("mask"))
+        keys = stored(keys.withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))).distinct(), "ring-finer-keys")
+    for part in done:
+        keys = keys.union(part.select(keys.columns))
+    a, b = keys.select(F.col("fp").alias("a"), "i", "mask", "key"), keys.select(F.col("fp").alias("b"), F.col("i").alias("j"), F.col("mask").alias("m"), F.col("key").alias("k"))
     x = F.col("a").bitwiseXOR(F.col("b"))
     chain = [F.bit_count(_ring(x, F.col("i"), n)) <= n - 1 for n in (2, 3)]
-    return (
-        a.join(b, [a.key == b.key, a.extra == b.extra, F.col("a") < F.col("b"), *chain, F.bit_count(x) <= radius])
-        .select("a", "b").distinct()
-    )
+    return a.join(b, [F.col("key") == F.col("k"), F.col("mask") == F.col("m"), F.col("i") == F.col("j"), F.col("a") < F.col("b"), *chain, F.bit_count(x) <= radius]).select("a", "b").distinct()
 
 
 def _ring(x, i, n: int):
     """The bits of ``n`` consecutive segments from segment ``i`` of the ring on."""
-    span = [sum(0xFFFF << 16 * ((k + j) % 4) for j in range(n)) for k in range(4)]
-    signed = [s - (1 << 64) if s >= 1 << 63 else s for s in span]
-    picked = F.lit(signed[3])
-    for k in (2, 1, 0):
-        picked = F.when(i == k, F.lit(signed[k])).otherwise(picked)
-    return x.bitwiseAND(picked)
+    span = [_signed(sum(0xFFFF << 16 * ((k + j) % 4) for j in range(n))) for k in range(4)]
+    return x.bitwiseAND(F.get(F.lit(span), i))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42, radius: int = RADIUS) -> DataFrame:
@@ -111,7 +117,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     The component is the smallest id reachable over links, the document's own included.  NULL and blank
     texts have fingerprint zero and link like any other; repeated rows share a component; a row with a
-    NULL id keeps its fingerprint, links to nothing and has a NULL component.  Other columns are ignored.
+    NULL id keeps its fingerprint, links to nothing and has a NULL component.  A text is read whole, in slices
+    of its shingles.  An empty table gives no rows.  Other columns are ignored.
     """
     marked = stored(with_fingerprint(docs, id_col, text_col, width, seed), "fingerprints")
     groups = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")).dropna(), "fingerprint-groups")
