@@ -8,20 +8,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+HUBS = 1000
+
+
+def _least(edges: DataFrame) -> DataFrame:
+    return edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+
+
+def _with_least(edges: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
+    """Each edge with the least neighbour of its ``u``.
+
+    A vertex with more than a thousandth of the edges is a hub; there are fewer than ``HUBS`` of them, so they
+    are broadcast and their edges stay where they are instead of meeting in one task.
+    """
+    hubs = least.where(F.col("n") > n_edges / HUBS).select(F.col("u").alias("h"), "m")
+    rest = least.where(F.col("n") <= n_edges / HUBS).select(F.col("u").alias("h"), "m")
+    small = F.broadcast(hubs)
+    of_hubs = edges.join(small, F.col("u") == F.col("h")).select("u", "v", "m")
+    return of_hubs.union(edges.join(F.broadcast(hubs.select("h")), F.col("u") == F.col("h"), "left_anti").join(rest, F.col("u") == F.col("h")).select("u", "v", "m"))
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = _least(both).withColumn("m", F.least("u", "m"))
     return (
-        both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        _with_least(both, least, 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         .where("u <> v").distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    joined = edges.join(least, "u")
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
+    least = _least(edges)
     return (
-        joined.select(F.col("v").alias("a"), F.col("m").alias("b"))
+        _with_least(edges, least, n).select(F.col("v").alias("a"), F.col("m").alias("b"))
         .union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
         .where("a <> b").distinct().select(F.col("a").alias("u"), F.col("b").alias("v"))
     )
@@ -42,7 +61,7 @@ def connected_components(edges: DataFrame, keep: Callable[[DataFrame, str], Data
     for _ in range(limit):
         if mark[0] == 0:
             break
-        state = keep(_small_star(_large_star(state)), "stars")
+        state = keep(_small_star(keep(_large_star(state, mark[0]), "large-stars"), mark[0]), "stars")
         now = _fingerprint(state)
         if now == mark:
             break
