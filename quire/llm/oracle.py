@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from math import ceil
+
+from .decontaminate import SIMILARITY, STRETCH
 from .line_dedup import MIN_CHARS
 from .queries import URL_RULES
 from .substring_dedup import WINDOW
 
+NEED = ceil(SIMILARITY * STRETCH)
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _RULES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
@@ -19,6 +23,18 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (gone IS NOT TRUE), '')) AS kept_sha256
 FROM judged GROUP BY doc_id"""
 
+OP2 = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+items AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+') AS ws FROM benchmark),
+dw AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM docs),
+iw AS (SELECT item_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM items),
+diagonals AS (SELECT doc_id, item_id, n, p - k AS start, count(*) AS m, list(k ORDER BY k) AS ks FROM dw JOIN iw USING (w)
+  GROUP BY ALL HAVING count(*) >= least(ceil(n * {SIMILARITY}::DOUBLE), {NEED})),
+good AS (SELECT * FROM diagonals WHERE m >= ceil(n * {SIMILARITY}::DOUBLE)
+  OR (n > {STRETCH} AND len(list_filter(range({NEED}, m + 1), lambda i: ks[i] - ks[i - {NEED - 1}] < {STRETCH})) > 0))
+SELECT doc_id, item_id, arg_max(start, m * 1000000000 - start) AS start, max(m) AS n_matched, max(m) / n AS overlap, true AS contaminated
+FROM good GROUP BY doc_id, item_id, n"""
+
 OP3 = f"""
 WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
 windows AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + {WINDOW - 1}], ' ')) AS w FROM docs, unnest(range(1, len(ws) - {WINDOW - 2})) AS g(i)),
@@ -38,4 +54,4 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op3_substring_dedup": OP3, "op6_url_filter": OP6}
+    return {"op1_line_dedup": OP1, "op2_decontaminate": OP2, "op3_substring_dedup": OP3, "op6_url_filter": OP6}

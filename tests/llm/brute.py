@@ -145,7 +145,7 @@ def sainte_lague(votes, seats):
     return got
 
 
-def overlaps(docs, items, stretch=20, similarity=0.8, min_words=5):
+def overlaps(docs, items, stretch=20, similarity=0.8, min_words=1):
     """Every diagonal of every document and item, by the 80 % rule alone; {(doc, item): (start, matched)}."""
     best = {}
     for d, t in docs:
@@ -153,7 +153,7 @@ def overlaps(docs, items, stretch=20, similarity=0.8, min_words=5):
         for i, text in items:
             item = [x.lower() for x in WORD.findall(text or "")]
             n = len(item)
-            for start in range(1 - n, len(w)) if d is not None and n >= min_words else ():
+            for start in range(1 - n, len(w)) if d is not None and i is not None and n >= max(1, min_words) else ():
                 same = [0 <= start + k < len(w) and w[start + k] == x for k, x in enumerate(item)]
                 long = n > stretch and max(sum(same[k : k + stretch]) for k in range(n - stretch + 1)) >= math.ceil(similarity * stretch)
                 if long or sum(same) >= math.ceil(similarity * n):

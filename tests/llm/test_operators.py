@@ -134,7 +134,8 @@ def test_decontamination_finds_planted_passages(spark, documents, sf):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("item_id", F.lit(9))
     got = decontaminate.find_overlaps(docs, spark.createDataFrame(items, "item_id bigint, text string"))
     pairs = {(r["doc_id"], r["item_id"]) for r in got.collect()}
-    assert {d for d, _ in pairs} == {1, 2, 4} and {(1, items[0][0]), (1, items[1][0])} <= pairs
+    assert {d for d, _ in pairs} == {1, 2, 4}, pairs
+    assert {(1, items[0][0]), (1, items[1][0])} <= pairs
     assert decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id bigint, text string")).count() == 5
 
 
@@ -182,13 +183,27 @@ def test_decontamination_of_tables_against_brute_force(spark, documents, sf):
     assert {(r["doc_id"], r["item_id"]): (r["start"], r["n_matched"]) for r in got} == brute.overlaps(rows, items)
 
 
-def test_short_and_empty_benchmarks(spark, odd_docs, no_docs):
-    bench = spark.createDataFrame([(1, "aaaa bbbb"), (2, "a b c a b"), (3, None), (4, "")], "item_id bigint, text string")
-    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_overlaps(odd_docs, bench).collect()} == {(16, 2)}
+def test_short_odd_and_empty_benchmarks(spark, odd_docs, no_docs):
+    items = [(1, "aaaa bbbb"), (2, "a b c a b"), (3, None), (4, ""), (5, "AAAA  Bbbb"), (5, "aaaa bbbb"), (6, "a"), (None, "aaaa bbbb"), (7, "b c a b c a b"), (7, "b c a")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string").withColumn("doc_id", F.lit(1))
+    got = decontaminate.find_overlaps(odd_docs, bench).collect()
+    want = brute.overlaps(texts(odd_docs), items)
+    assert {(r["doc_id"], r["item_id"]): (r["start"], r["n_matched"]) for r in got} == want and len(got) == len(want)
+    assert {(9, 1), (9, 5), (10, 1), (16, 2), (16, 6)} <= set(want)
     assert decontaminate.find_overlaps(odd_docs, bench.limit(0)).count() == 0
     assert decontaminate.find_overlaps(no_docs, bench).count() == 0
 
 
+def test_bitmaps_of_any_size_give_the_same(spark, documents, sf, monkeypatch):
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    some = documents.limit(50)
+    found = []
+    for bits in (1 << 12, 1 << 24):
+        monkeypatch.setattr(decontaminate, "BITMAP_BITS", bits)
+        found.append(sorted(map(str, decontaminate.find_overlaps(some, bench).collect())))
+    assert found[0] == found[1]
+
+
 def test_quality_statistics(docs):
     stats = quality_rules.judge(quality_rules.statistics(docs), []).collect()
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
