@@ -53,7 +53,18 @@ def test_line_index_is_independent_of_batches(documents, batches, fanout):
 def test_line_index_levels(spark, documents):
     index = line_dedup.build_index(spark, line_dedup.hashed_lines(documents), batches=6, fanout=2)
     assert sum(map(len, index.levels)) <= 3
-    assert index.runs().count() == line_dedup.hashed_lines(documents).select("lo", "hi").distinct().count()
+    assert sum(r.count() for r in index.runs()) == line_dedup.hashed_lines(documents).select("lo", "hi").distinct().count()
+    again = index.runs()[0].groupBy("lo", "hi").count()
+    assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString()  # the run stays where it is
+
+
+def test_heavy_lines_and_shared_ids(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HEAVY", 3)
+    rows = [(k % 150, f"a line that all hold\nline number {k % 40} of forty\nshort\n{'x' * (k % 13)}") for k in range(400)] + [(None, "a line that all hold"), (-1, "A LINE that all hold \n")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("salt", F.lit(1))
+    for least in (100, 1):
+        monkeypatch.setattr(line_dedup, "SAMPLE", 300 * least)
+        assert by_id(line_dedup.dedup_lines(docs).collect(), "n_lines", "n_dropped", "kept_sha256") == ordered(brute.line_dedup(rows))
 
 
 @pytest.mark.parametrize(("chunks", "ranges"), [(None, None), (1, 1), (5, 300)])
