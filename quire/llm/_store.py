@@ -20,11 +20,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: lineage ends here,
-    so a lost executor costs no recomputation of what came before."""
+    so a lost executor costs no recomputation of what came before.  ``files`` gathers a table that is
+    small by its nature."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.repartition(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -25,6 +25,8 @@ from ._text import BLANK_BYTES
 MIN_CHARS = 10
 BATCHES = 4
 FANOUT = 2
+BUCKET_ROWS = 500_000
+MOST_BUCKETS = 20_000
 HEAVY = 4000
 SAMPLE = 1_000_000
 _RESULT = StructType().add("doc_id", "long").add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string").add("kept_sha256", "string")
@@ -72,12 +74,12 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFra
 class LineIndex:
     """Levelled sorted runs of line hashes, as bucketed tables of the session's catalog with files in the shared folder.
 
-    There is a bucket for each shuffle partition, so a batch is shuffled once, to where the runs already are.
+    A batch is shuffled to where the runs already are; ``rows`` is about how many hashes are to come.
     """
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT) -> None:
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, rows: int = 0) -> None:
         self.spark, self.fanout, self.levels = spark, fanout, []
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = min(max(8, rows // BUCKET_ROWS), MOST_BUCKETS)
 
     def runs(self) -> list[DataFrame]:
         """The runs; every hash is in exactly one of them."""
@@ -85,7 +87,7 @@ class LineIndex:
 
     def add(self, batch: DataFrame) -> None:
         """Add the hashes ``(lo, hi, doc_id)`` of a batch whose ids are above those of earlier batches."""
-        new = batch.groupBy("lo", "hi").agg(F.min("doc_id").alias("first"))
+        new = batch.groupBy("lo", "hi").agg(F.min("doc_id").alias("first")).repartition(self.buckets, "lo", "hi")
         for old in self.runs():
             new = new.join(old.select("lo", "hi").hint("merge"), ["lo", "hi"], "left_anti")
         self._push(0, new)
@@ -121,7 +123,7 @@ def build_index(spark: SparkSession, lines: DataFrame, batches: int = BATCHES, f
     """
     cuts = lines.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] if batches > 1 else []
     cuts = sorted(set(cuts or []))
-    index = LineIndex(spark, fanout)
+    index = LineIndex(spark, fanout, lines.count())
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         part = lines
         if low is not None:
@@ -132,17 +134,18 @@ def build_index(spark: SparkSession, lines: DataFrame, batches: int = BATCHES, f
     return index
 
 
-def _late(lines: DataFrame, runs: list[DataFrame]) -> DataFrame:
+def _late(lines: DataFrame, index: LineIndex) -> DataFrame:
     """Rows ``(lo, hi, doc_id, salt)`` of lines that a document with a smaller id holds.
 
     Lines with more than about ``1 / HEAVY`` of a sample of at most ``SAMPLE`` rows are heavy.  There are at most
     ``HEAVY`` of them, so their first documents are broadcast and no task gets all rows of such a line; the
     sample decides where rows are joined, not the result.
     """
+    runs, buckets = index.runs(), index.buckets
     share = min(1.0, SAMPLE / max(1, lines.count()))
     seen = lines.sample(share, 7).groupBy("lo", "hi").count()
-    heavy = stored(seen.where(F.col("count") >= max(100, SAMPLE // HEAVY)).orderBy(F.desc("count"), "lo", "hi").limit(HEAVY).select("lo", "hi"), "heavy-lines")
-    light = lines.join(F.broadcast(heavy), ["lo", "hi"], "left_anti")
+    heavy = stored(seen.where(F.col("count") >= max(100, SAMPLE // HEAVY)).orderBy(F.desc("count"), "lo", "hi").limit(HEAVY).select("lo", "hi"), "heavy-lines", 1)
+    light = lines.join(F.broadcast(heavy), ["lo", "hi"], "left_anti").repartition(buckets, "lo", "hi")
     parts = []
     for run in runs:
         parts.append(light.join(run.hint("merge"), ["lo", "hi"]))
@@ -167,7 +170,7 @@ def dedup_lines(
     """
     spark = docs.sparkSession
     lines = stored(hashed_lines(docs, id_col, text_col, min_chars), "line-hashes")
-    late = _late(lines, build_index(spark, lines, batches, fanout).runs())
+    late = _late(lines, build_index(spark, lines, batches, fanout))
     late = late.groupBy(F.col("doc_id").alias("_id"), F.col("salt").alias("_salt")).agg(F.collect_list(F.struct("lo", "hi")).alias("_late"))
     more = ["carried"] if carry else []
     rows = _rows(docs, id_col, text_col, *(F.struct(*carry).alias(c) for c in more))

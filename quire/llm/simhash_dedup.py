@@ -90,9 +90,9 @@ def links(fps: DataFrame, radius: int = RADIUS, dense: int = DENSE) -> DataFrame
     """
     if not 0 <= radius <= 3:
         raise ValueError("the four-segment ring proves completeness for up to three bits")
-    keys, done = stored(_keys(fps), "ring-keys"), []
+    keys, done = _keys(fps), []
     for parts in _PARTS:
-        crowded = stored(keys.groupBy("mask", "key").count().where(F.col("count") > dense).select("mask", "key"), "ring-crowded")
+        crowded = stored(keys.groupBy("mask", "key").count().where(F.col("count") > dense).select("mask", "key"), "ring-crowded", 16)
         if crowded.isEmpty():
             break
         done.append(keys.join(crowded, ["mask", "key"], "left_anti").select("fp", "i", "mask", "key"))
