@@ -19,13 +19,13 @@ def _with_least(edges: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
     """Each edge with the least neighbour of its ``u``.
 
     A vertex with more than a thousandth of the edges is a hub; there are fewer than ``HUBS`` of them, so they
-    are broadcast and their edges stay where they are instead of meeting in one task.
+    are broadcast, and their edges spread over all tasks instead of meeting in one.
     """
-    hubs = least.where(F.col("n") > n_edges / HUBS).select(F.col("u").alias("h"), "m")
-    rest = least.where(F.col("n") <= n_edges / HUBS).select(F.col("u").alias("h"), "m")
-    small = F.broadcast(hubs)
-    of_hubs = edges.join(small, F.col("u") == F.col("h")).select("u", "v", "m")
-    return of_hubs.union(edges.join(F.broadcast(hubs.select("h")), F.col("u") == F.col("h"), "left_anti").join(rest, F.col("u") == F.col("h")).select("u", "v", "m"))
+    hubs = least.where(F.col("n") > n_edges / HUBS).select(F.col("u").alias("h"), F.col("m").alias("hub_m"))
+    spread = F.when(F.col("hub_m").isNull(), F.col("u")).otherwise(F.xxhash64("v"))
+    marked = edges.join(F.broadcast(hubs), F.col("u") == F.col("h"), "left").select("u", "v", "hub_m", spread.alias("k"))
+    least = least.select(F.col("u").alias("h"), "m")
+    return marked.join(least, F.col("k") == F.col("h"), "left").select("u", "v", F.coalesce("hub_m", "m").alias("m"))
 
 
 def _large_star(edges: DataFrame, n: int) -> DataFrame:
@@ -61,7 +61,10 @@ def connected_components(edges: DataFrame, keep: Callable[[DataFrame, str], Data
     for _ in range(limit):
         if mark[0] == 0:
             break
-        state = keep(_small_star(keep(_large_star(state, mark[0]), "large-stars"), mark[0]), "stars")
+        few = 1 + mark[0] // 100_000 if mark[0] < 2_000_000 else None  # a small graph in few files
+        for name, star in (("large-stars", _large_star), ("stars", _small_star)):
+            new = star(state, mark[0])
+            state = keep(new.coalesce(few) if few else new, name)
         now = _fingerprint(state)
         if now == mark:
             break
