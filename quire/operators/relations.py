@@ -91,23 +91,34 @@ def fastest_slowest(df: DataFrame, keys: Sequence[str], value: str, tie: str, k:
     )
 
 
+def exact_median(value: str, decimals: int = 2) -> Column:
+    """The median of numbers with that many decimals, rounded half up: computed on whole numbers."""
+    whole = F.round(F.col(value) * 10**decimals).cast("bigint")
+    return F.floor(F.median(whole) + 0.5) / 10**decimals
+
+
 def weighted_clusters(df: DataFrame, keys: Sequence[str], value: str, weight: str, source: str, gap: float, tie: str) -> DataFrame:
-    """Islands summed up: weighted mean position, total weight, members, distinct sources and drift."""
+    """Islands summed up: weighted mean position, total weight, members, distinct sources and drift.
+
+    Values and weights count to four decimals.  The mean is a quotient of whole numbers, so halves round up
+    whatever the order of the rows.
+    """
     found = islands(df, keys, value, gap, tie)
-    w, x = F.col(weight), F.col(value)
-    return found.groupBy(*keys, "island").agg(
-        F.round(F.sum(w * x) / F.sum(w), 4).alias("position"), F.round(F.sum(w), 4).alias("weight"), F.count("*").alias("members"),
-        F.countDistinct(source).alias("support"), F.round(F.max(x) - F.min(x), 4).alias("drift"),
+    w, x = (F.round(F.col(c) * 10_000).cast("decimal(19,0)") for c in (weight, value))
+    sums = found.withColumn("_w", w).withColumn("_x", x).groupBy(*keys, "island").agg(
+        F.sum(F.col("_w") * F.col("_x")).alias("_sum"), F.sum("_w").alias("_all"), F.count("*").alias("members"), F.countDistinct(source).alias("support"), (F.max("_x") - F.min("_x")).alias("_drift"),
     )
+    position = F.expr("sign(_sum) * ((2 * abs(_sum) + _all) div (2 * _all)) / 10000")
+    return sums.select(*keys, "island", position.cast("double").alias("position"), (F.col("_all").cast("double") / 10_000).alias("weight"), "members", "support", (F.col("_drift").cast("double") / 10_000).alias("drift"))
 
 
 def peaks(df: DataFrame, keys: Sequence[str], value: str, weight: str, width: float, share: float, tie: str) -> DataFrame:
-    """Histogram peaks: bins with at least ``share`` of their key's weight, touching bins merged."""
-    bins = df.withColumn("_bin", F.floor(F.col(value) / width)).groupBy(*keys, "_bin").agg(F.sum(weight).alias("_w"), F.collect_list(value).alias("_xs"))
-    whole = F.sum("_w").over(Window.partitionBy(*keys))
-    solid = bins.where(F.lit(True)).withColumn("_all", whole).where(F.col("_w") >= share * F.col("_all"))
-    merged = islands(solid, keys, "_bin", 1, "_bin").groupBy(*keys, "island").agg(F.flatten(F.collect_list("_xs")).alias("_xs"), F.round(F.sum("_w"), 4).alias("weight"))
-    return merged.select(*keys, "island", "weight", F.explode("_xs").alias("_x")).groupBy(*keys, "island", "weight").agg(F.round(F.median("_x"), 4).alias("position"), F.count("*").alias("members"))
+    """Histogram peaks: bins with at least ``share`` of their key's weight, touching bins merged; the position is the exact median."""
+    rows = df.withColumn("_bin", F.floor(F.col(value) / width))
+    bins = rows.groupBy(*keys, "_bin").agg(F.sum(weight).alias("_w"))
+    solid = bins.withColumn("_all", F.sum("_w").over(Window.partitionBy(*keys))).where(F.col("_w") >= share * F.col("_all"))
+    merged = islands(solid, keys, "_bin", 1, "_bin").select(*keys, "_bin", "island")
+    return rows.join(merged, [*keys, "_bin"]).groupBy(*keys, "island").agg(F.round(F.sum(weight), 4).alias("weight"), F.round(F.median(value), 4).alias("position"), F.count("*").alias("members"))
 
 
 def coverage(df: DataFrame, keys: Sequence[str], low: str, high: str, bin_width: float) -> DataFrame:

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import connected_components
 
+RECALL = 0.995
+BLOCK = 2048
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -21,31 +27,77 @@ def normalised(vector: Column) -> Column:
     return F.when(size > 0, F.transform(v, lambda x: x / size))
 
 
-def similar_pairs(vectors: DataFrame, key: str, vector: str, threshold: float, planes: int = 1) -> DataFrame:
-    """All pairs ``(id_a, id_b, similarity)``, id_a < id_b, with cosine at or above the threshold.
+def _hashed(unit: DataFrame, angle: float, recall: float, bits: int, seed: int) -> DataFrame:
+    """Rows ``(id, key)``: one key of ``bits`` hyperplane sides for each table.
 
-    Exact and without a cross join: unit vectors within cosine t differ by at most r = sqrt(2 - 2 t) in any
-    direction, so each vector is filed under the r-wide cells of its first ``planes`` coordinates and meets
-    only the neighbouring cells.
+    Two vectors at ``angle`` fall on the same side of a random plane with probability 1 - angle / pi, so that
+    many tables give them a common key with probability ``recall``; closer vectors more.
+    """
+    hit = max(1 - angle / math.pi, 1e-9) ** bits
+    tables = 1 if hit >= 1 else math.ceil(math.log(1 - recall) / math.log1p(-hit))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes, powers = {}, 1 << np.arange(bits, dtype=np.int64)
+        for batch in batches:
+            ids, lists = batch.column(0), batch.column(1)
+            sizes = np.diff(lists.offsets.to_numpy())
+            flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+            for size in np.unique(sizes).tolist():
+                if size not in planes:
+                    planes[size] = np.random.default_rng([seed, size]).normal(size=(size, tables * bits))
+                rows = np.flatnonzero(sizes == size)
+                v = flat[(at[rows, None] + np.arange(size)[None]).ravel()].reshape(len(rows), size)
+                keys = ((v @ planes[size] > 0).reshape(len(rows), tables, bits) * powers).sum(axis=2) * tables + np.arange(tables)
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(rows, tables))), pa.array(keys.ravel())], ["id", "key"])
+
+    return unit.mapInArrow(run, f"id {dict(unit.dtypes)['id']}, key bigint")
+
+
+def similar_pairs(vectors: DataFrame, key: str, vector: str, threshold: float, recall: float = RECALL, seed: int = 11) -> DataFrame:
+    """Pairs ``(id_a, id_b, similarity)``, id_a < id_b, with cosine at or above the threshold.
+
+    Vectors that share a key of some table are compared; the number of bits grows with the logarithm of the
+    number of vectors, so a key stays small.  A pair at the threshold is found with probability ``recall``, a closer
+    one more surely, equal vectors always.  ``recall=1`` is the exact way: blocks of vectors meet every other
+    block once in matrix products, which takes time with the square of the table.
     """
-    r = max((2 - 2 * threshold) ** 0.5, 1e-6)
     unit = vectors.select(F.col(key).alias("id"), normalised(F.col(vector)).alias("v")).where("v is not null")
-    cells = [F.floor(F.get("v", k) / r) for k in range(planes)]
-    here = unit.select("id", "v", *(c.alias(f"c{k}") for k, c in enumerate(cells)))
-    near = here
-    for k in range(planes):
-        near = near.withColumn(f"c{k}", F.explode(F.array(*(F.col(f"c{k}") + s for s in (-1, 0, 1)))))
-    a, b = near.alias("a"), here.alias("b")
-    on = F.col("a.id") < F.col("b.id")
-    for k in range(planes):
-        on = on & (F.col(f"a.c{k}") == F.col(f"b.c{k}"))
-    s = dot(F.col("a.v"), F.col("b.v"))
-    return a.join(b, on).where(s >= threshold).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), F.round(s, 4).alias("similarity"))
+    if recall >= 1:
+        return _all_pairs(unit, threshold)
+    bits = min(40, max(8, unit.count().bit_length() - 2))
+    keys = _hashed(unit, math.acos(max(-1.0, min(1.0, threshold))), recall, bits, seed)
+    a, b = keys.select(F.col("id").alias("id_a"), "key"), keys.select(F.col("id").alias("id_b"), "key")
+    met = a.join(b, "key").where("id_a < id_b").select("id_a", "id_b").distinct()
+    both = met.join(unit.select(F.col("id").alias("id_a"), F.col("v").alias("va")), "id_a").join(unit.select(F.col("id").alias("id_b"), F.col("v").alias("vb")), "id_b")
+    return both.withColumn("s", dot(F.col("va"), F.col("vb"))).where(F.col("s") >= threshold).select("id_a", "id_b", F.round("s", 4).alias("similarity"))
+
+
+def _all_pairs(unit: DataFrame, threshold: float) -> DataFrame:
+    blocks = max(1, math.ceil(unit.count() / BLOCK))
+    placed = unit.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    # Every unordered pair of blocks is one task's work, so each vector goes to as many groups as there are blocks.
+    cell = F.struct(F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    sent = placed.select("id", "v", "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")).select("id", "v", "block", cell.alias("cell"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        x, y = (table.column("cell")[0].as_py()[k] for k in "xy")
+        at, ids = table.column("block").to_numpy(), np.array(table.column("id").to_pylist())
+        v = np.array(table.column("v").to_pylist())
+        one, two = np.flatnonzero(at == x), np.flatnonzero(at == y)
+        s = v[one] @ v[two].T
+        i, j = np.nonzero(s >= threshold - 1e-9)
+        a, b = ids[one[i]], ids[two[j]]
+        keep = a < b if x == y else np.ones(len(a), bool)
+        return pa.table({"id_a": np.minimum(a, b)[keep], "id_b": np.maximum(a, b)[keep], "s": s[i, j][keep]})
+
+    kind = dict(unit.dtypes)["id"]
+    found = sent.groupBy("cell").applyInArrow(meet, f"id_a {kind}, id_b {kind}, s double")
+    return found.where(F.col("s") >= threshold).select("id_a", "id_b", F.round("s", 4).alias("similarity"))
 
 
 def clusters(vectors: DataFrame, key: str, vector: str, threshold: float, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Single-linkage clusters: ``id, cluster``; the cluster is its smallest id, lone vectors are their own."""
-    pairs = similar_pairs(vectors, key, vector, threshold, planes=2)
+    pairs = similar_pairs(vectors, key, vector, threshold)
     found = connected_components(pairs.select("id_a", "id_b"), keep)
     return vectors.select(F.col(key).alias("id")).join(found, "id", "left").select("id", F.coalesce("component", "id").alias("cluster"))
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import columns as C
-from ..operators.relations import calendar, chunk_number, coverage, islands, merged_intervals, peaks, runs_of_true, top_per_key, uncovered_gaps, weighted_clusters
+from ..operators.relations import calendar, chunk_number, coverage, exact_median, islands, merged_intervals, peaks, runs_of_true, top_per_key, uncovered_gaps, weighted_clusters
 from .catalog import BOXES, Tables, query
 
 
@@ -18,7 +18,7 @@ def adjacent_differences(t: Tables) -> DataFrame:
 @query("W04 A36 A37 A55 Q14", """
 WITH g AS (SELECT *, CASE WHEN value - lag(value) OVER w > 0.5 THEN 1 ELSE 0 END AS j FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY value, event_id)),
 i AS (SELECT *, sum(j) OVER (PARTITION BY user_id ORDER BY value, event_id ROWS UNBOUNDED PRECEDING) AS island FROM g)
-SELECT user_id, CAST(island AS BIGINT) AS island, round(sum(value * (1 + event_id % 3)) / sum(1 + event_id % 3), 4) AS position, round(CAST(sum(1 + event_id % 3) AS DOUBLE), 4) AS weight, count(*) AS members, count(DISTINCT event_type) AS support, round(max(value) - min(value), 4) AS drift
+SELECT user_id, CAST(island AS BIGINT) AS island, ((2 * sum(CAST(round(value * 10000) AS HUGEINT) * (1 + event_id % 3)) + sum(1 + event_id % 3)) // (2 * sum(1 + event_id % 3))) / 10000.0::DOUBLE AS position, round(CAST(sum(1 + event_id % 3) AS DOUBLE), 4) AS weight, count(*) AS members, count(DISTINCT event_type) AS support, round(max(value) - min(value), 4) AS drift
 FROM i GROUP BY 1, 2""")
 def boundary_clusters(t: Tables) -> DataFrame:
     weighted = t.events.where("value is not null").withColumn("w", (1 + F.col("event_id") % 3).cast("double"))
@@ -89,9 +89,9 @@ def calendar_fill(t: Tables) -> DataFrame:
 
 
 @query("A24 A25 A41", """
-SELECT l_orderkey, round(median(l_quantity), 2) AS x_size, round(median(l_extendedprice), 2) AS height FROM lineitem GROUP BY 1""")
+SELECT l_orderkey, floor(median(CAST(round(l_quantity * 100) AS BIGINT)) + 0.5) / 100 AS x_size, floor(median(CAST(round(l_extendedprice * 100) AS BIGINT)) + 0.5) / 100 AS height FROM lineitem GROUP BY 1""")
 def block_medians(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_orderkey").agg(F.round(F.median("l_quantity"), 2).alias("x_size"), F.round(F.median("l_extendedprice"), 2).alias("height"))
+    return t.lineitem.groupBy("l_orderkey").agg(*(exact_median(c).alias(n) for c, n in (("l_quantity", "x_size"), ("l_extendedprice", "height"))))
 
 
 @query("A27 A26", """

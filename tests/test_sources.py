@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import mutations as K
+from quire.operators import graph, similarity  # noqa: E402
 from quire.operators.graph import connected_components
 from quire.sources import envelopes, hocr, scratch, tables
 from quire.streaming import days
@@ -81,5 +82,60 @@ def test_failure_counter(spark, sf, tmp_path):
         want[r["user_id"]] = want.get(r["user_id"], 0) + 1 if r["bad"] else 0
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).withColumn("bad", F.col("event_type") == "error").select("user_id", "event_id", "bad")
-    days.run_once(days.failure_counter(stream, "user_id", "bad", "event_id"), "fails", str(tmp_path / "c"), "update").stop()
-    assert {r["user_id"]: r["failures"] for r in spark.table("fails").collect()} == want
+    found = days.run_once(days.failure_counter(stream, "user_id", "bad", "event_id"), str(tmp_path / "out"), str(tmp_path / "c"), "update")
+    assert {r["user_id"]: r["failures"] for r in days.latest(found, ["user_id"]).collect()} == want
+
+
+def test_failure_counter_of_one_long_key(spark, tmp_path):
+    """100,000 events of one key in no order fill many Arrow batches; a rerun resumes, NULLs are no failures."""
+    marks = spark.range(100_000).select((F.col("id") * 37 % 100_000).alias("event_id"), F.lit(1).cast("bigint").alias("user_id")).withColumn("bad", F.col("event_id") > 99_000)
+    marks = marks.union(spark.createDataFrame([(1, 2, None), (2, 3, True), (3, 3, None), (4, 3, True)], "event_id bigint, user_id bigint, bad boolean"))
+    marks.repartition(3).write.parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        stream = spark.readStream.schema(marks.schema).option("maxFilesPerTrigger", 100).parquet(str(tmp_path / "in"))
+        found = days.run_once(days.failure_counter(stream, "user_id", "bad", "event_id"), str(tmp_path / "out"), str(tmp_path / "c"), "update")
+        assert {r["user_id"]: (r["failures"], r["status"]) for r in days.latest(found, ["user_id"]).collect()} == {1: (999, "damaged"), 2: (0, "done"), 3: (1, "failed")}
+
+
+def _vectors(spark, pairs=60, size=32):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(pairs, size))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=(pairs, size))
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    c = np.linspace(0.9001, 0.9999, pairs)[:, None]
+    rows = np.concatenate((base, c * base + np.sqrt(1 - c * c) * side, rng.normal(size=(600, size))))
+    return rows, spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(rows)] + [(9000, [0.0] * size), (9001, None)], "id bigint, v array<double>")
+
+
+def test_similar_pairs_recall_and_share_compared(spark, monkeypatch):
+    import numpy as np
+
+    rows, df = _vectors(spark)
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    i, j = np.nonzero(np.triu(unit @ unit.T >= 0.9, 1))
+    want = set(zip(i.tolist(), j.tolist(), strict=True))
+    assert len(want) >= 60
+    monkeypatch.setattr(similarity, "BLOCK", 100)
+    exact = {(r["id_a"], r["id_b"]) for r in similarity.similar_pairs(df, "id", "v", 0.9, recall=1).collect()}
+    assert exact == want
+    got = {(r["id_a"], r["id_b"]) for r in similarity.similar_pairs(df, "id", "v", 0.9).collect()}
+    assert got <= want and len(got) >= 0.97 * len(want)
+    keys = similarity._hashed(df.where("id < 9000").select("id", similarity.normalised(F.col("v")).alias("v")), np.arccos(0.9), 0.995, 10, 11)
+    met = keys.join(keys.withColumnRenamed("id", "other"), "key").where("id < other").select("id", "other").distinct().count()
+    assert met < 0.1 * len(rows) * (len(rows) - 1) / 2
+
+
+def test_equal_vectors_always_meet(spark):
+    df = spark.createDataFrame([(k, [1.0, 2.0, 3.0]) for k in range(5)] + [(9, [1.0, 2.0])], "id bigint, v array<double>")
+    assert similarity.similar_pairs(df, "id", "v", 0.999).count() == 10
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HUBS", 5)
+    edges = [(0, k) for k in range(1, 300)] + [(500, k) for k in range(501, 700)] + [(299, 800), (801, 800), (900, 901)]
+    got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u bigint, v bigint"), scratch.stored).collect()}
+    assert got == {k: 0 for k in [*range(300), 800, 801]} | {k: 500 for k in range(500, 700)} | {900: 900, 901: 900}
