@@ -275,18 +275,47 @@ def flood_components(cells: DataFrame, page: str, x: str, y: str) -> DataFrame:
     return _whole_pages(cells, page, run, f"{page} {dict(cells.dtypes)[page]}, component bigint, n bigint, cx double, cy double")
 
 
-def first_peak(series: DataFrame, key: str, position: str, value: str, low: int = 2, high: int = 40) -> DataFrame:
-    """The first local maximum of the autocorrelation of each key's series: ``lag, strength``; NULL without one."""
+def drop_nested(boxes: DataFrame, page: str, key: str, kind: str, framed: str = "article", frame: str = "display_ad") -> DataFrame:
+    """Of two boxes one inside the other the inner one goes, but an ad around an article is its frame and goes itself.
+
+    Pairs are judged in the order of kind and key; what is gone takes part no more.
+    """
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g, pages = _sorted(g, page, g[kind].to_numpy(dtype=str), g[key].to_numpy())
+        b, kinds, gone = g[_BOX].to_numpy(float), g[kind].to_numpy(), np.zeros(len(g), dtype=bool)
+        size = _area(b)
+        for at in pages:
+            x = b[at]
+            inside = (x[:, None, :2] >= x[None, :, :2]).all(2) & (x[:, None, 2:] <= x[None, :, 2:]).all(2) & (size[at][:, None] < size[at][None])
+            for i, j in zip(*(n.tolist() for n in np.nonzero(np.triu(inside | inside.T, 1))), strict=True):
+                if not gone[at.start + i] and not gone[at.start + j]:
+                    inner, outer = (i, j) if inside[i, j] else (j, i)
+                    boxed = kinds[at.start + inner] == framed and kinds[at.start + outer] == frame
+                    gone[at.start + (outer if boxed else inner)] = True
+        return g[~gone]
+
+    return _whole_pages(boxes, page, run, boxes.schema)
+
+
+def first_peak(series: DataFrame, key: str, position: str, value: str, low: int = 10, high: int = 60, prominence: float = 0.03) -> DataFrame:
+    """The first peak of the autocorrelation of each key's series: ``lag, strength``; NULL without one.
+
+    Lags from ``low`` to ``high`` count, those beyond the series as zero.  A peak is above both neighbours and
+    rises by ``prominence`` over the higher of the two valleys that part it from higher ground or the range's end.
+    """
     def run(g: pd.DataFrame) -> pd.DataFrame:
         v = g.sort_values(position)[value].to_numpy(float)
         v = v - v.mean()
         power, found = float((v * v).sum()), (None, None)
-        if power > 0:
-            r = [float((v[:-k] * v[k:]).sum()) / power for k in range(1, min(high + 2, len(v)))]
-            for k in range(max(low, 2), min(high, len(r) - 1) + 1):
-                if r[k - 1] > r[k - 2] and r[k - 1] >= r[k] and r[k - 1] > 0:
-                    found = (k, round(r[k - 1], 6))
-                    break
+        if power > 1e-10:
+            r = np.array([float((v[:-k] * v[k:]).sum()) / power if k < len(v) else 0.0 for k in range(low, high + 1)])
+            for k in range(1, len(r) - 1):
+                if r[k - 1] < r[k] > r[k + 1]:
+                    left, right = r[:k][::-1], r[k + 1 :]
+                    valleys = [side[: int((side > r[k]).argmax())] if (side > r[k]).any() else side for side in (left, right)]
+                    if r[k] - max(float(x.min()) for x in valleys) >= prominence:
+                        found = (k + low, round(float(r[k]), 6))
+                        break
         return pd.DataFrame({key: [g[key].iloc[0]], "lag": pd.array([found[0]], dtype="Int64"), "strength": [found[1]]})
 
     return _per_page(series, key, run, f"{key} {dict(series.dtypes)[key]}, lag bigint, strength double")

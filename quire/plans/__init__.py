@@ -1,6 +1,6 @@
 """Registered queries."""
 
-from . import geometry, pages, rollups, series, streams, texts  # noqa: F401
+from . import archive, geometry, pages, rollups, series, streams, texts  # noqa: F401
 from .catalog import CATALOG
 
 __all__ = ["CATALOG"]

@@ -191,37 +191,98 @@ def stroke_rectangles(t: Tables) -> DataFrame:
     return tops.alias("h").join(v.alias("v"), on, "left_semi").distinct()
 
 
-@query("T03")
+_BOX = "id BIGINT, l DOUBLE, t DOUBLE, r DOUBLE, b DOUBLE"
+
+
+def _greedy(order: str, state: str, first: str, step: str, also: str = "", last: str = "") -> str:
+    """Recursive SQL that walks the boxes ``c`` of each page in an order and folds them into the list ``kept``."""
+    return f"""
+WITH RECURSIVE {BOXES}, c AS (SELECT *, (r - l) * (b - t) AS size, row_number() OVER (PARTITION BY page ORDER BY {order}) AS k FROM boxes),
+s AS (SELECT page, 0::BIGINT AS k, CAST([] AS {state}) AS kept{first} FROM (SELECT DISTINCT page FROM boxes)
+ UNION ALL SELECT s.page, c.k, {step} AS kept{also} FROM s JOIN c ON c.page = s.page AND c.k = s.k + 1),
+done AS (SELECT page, max_by(kept, k) AS kept FROM s GROUP BY 1)
+{last}"""
+
+
+def _meets(x: str) -> str:
+    return f"(greatest(0, least({x}.r, c.r) - greatest({x}.l, c.l)) * greatest(0, least({x}.b, c.b) - greatest({x}.t, c.t)))"
+
+
+_THIS = "{'id': c.id, 'l': c.l, 't': c.t, 'r': c.r, 'b': c.b}"
+_SURVIVORS = "SELECT boxes.* FROM boxes JOIN done ON done.page = boxes.page AND list_contains(list_transform(kept, lambda x: x.id), boxes.id)"
+
+
+@query("T06", f"""
+WITH RECURSIVE {BOXES}, k AS (SELECT *, (r - l) * (b - t) AS size, CASE WHEN col % 2 = 0 THEN 'article' WHEN col % 3 = 0 THEN 'photo' ELSE 'display_ad' END AS kind FROM boxes), o AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY kind, id) AS n FROM k),
+pairs AS (SELECT a.page, a.id AS i, b.id AS j, a.kind AS ki, b.kind AS kj, row_number() OVER (PARTITION BY a.page ORDER BY a.n, b.n) AS k, a.size < b.size AS first_inside FROM o a JOIN o b ON a.page = b.page AND a.n < b.n
+  AND ((a.l >= b.l AND a.t >= b.t AND a.r <= b.r AND a.b <= b.b AND a.size < b.size) OR (b.l >= a.l AND b.t >= a.t AND b.r <= a.r AND b.b <= a.b AND b.size < a.size))),
+e AS (SELECT *, CASE WHEN first_inside = (CASE WHEN first_inside THEN ki = 'article' AND kj = 'display_ad' ELSE kj = 'article' AND ki = 'display_ad' END) THEN j ELSE i END AS loser FROM pairs),
+s AS (SELECT page, 0::BIGINT AS k, CAST([] AS BIGINT[]) AS gone FROM (SELECT DISTINCT page FROM boxes) UNION ALL SELECT s.page, e.k, CASE WHEN list_contains(gone, e.i) OR list_contains(gone, e.j) THEN gone ELSE list_append(gone, e.loser) END FROM s JOIN e ON e.page = s.page AND e.k = s.k + 1),
+done AS (SELECT page, max_by(gone, k) AS gone FROM s GROUP BY 1) SELECT id, page FROM boxes JOIN done USING (page) WHERE NOT list_contains(gone, id)""")
+def framed_articles(t: Tables) -> DataFrame:
+    kind = F.when(F.col("col") % 2 == 0, "article").when(F.col("col") % 3 == 0, "photo").otherwise("display_ad")
+    return G.drop_nested(t.boxes().withColumn("kind", kind), "page", "id", "kind").select("id", "page")
+
+
+@query("U04", f"""
+WITH {BOXES}, g AS (SELECT *, range(CAST(floor(l / 20) AS BIGINT), CAST(floor(r / 20) AS BIGINT) + 1) AS blocks FROM boxes),
+i AS (SELECT a.id, list_sort(list_distinct(flatten(list(b.blocks)))) AS covered FROM g a JOIN g b ON a.page = b.page AND a.id <> b.id AND b.l >= a.l - 0.5 AND b.r <= a.r + 0.5 AND b.t >= a.t - 0.5 AND b.b <= a.b + 0.5 GROUP BY 1)
+SELECT g.id FROM g JOIN i USING (id) WHERE covered = blocks""")
+def enclosing_regions(t: Tables) -> DataFrame:
+    blocks = F.sequence(F.floor(F.col("l") / 20), F.floor(F.col("r") / 20))
+    regions = t.boxes().withColumn("blocks", blocks)
+    a, b = Box.of("a."), Box.of("b.")
+    inside = (F.col("a.id") != F.col("b.id")) & C.contains(a, b, 0.5)
+    found = box_pairs(regions, regions, "page", inside).groupBy(F.col("a.id").alias("id")).agg(F.first("a.blocks").alias("own"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("b.blocks")))).alias("covered"))
+    return found.where(F.col("covered") == F.col("own")).select("id")
+
+
+@query("T03", _greedy("(r - l) * (b - t) DESC, id", f"STRUCT({_BOX})[]", "", f"CASE WHEN c.size > 0 AND len(list_filter(kept, lambda x: {_meets('x')} > 0.8 * c.size)) > 0 THEN kept ELSE list_append(kept, {_THIS}) END", last=_SURVIVORS))
 def contained_ads_dropped(t: Tables) -> DataFrame:
     return G.drop_contained(t.boxes(), "page", "id")
 
 
-@query("T04")
+@query("T04", _greedy("score DESC, id", f"STRUCT({_BOX})[]", "", f"CASE WHEN len(list_filter(kept, lambda x: {_meets('x')} > 0 AND {_meets('x')} > 0.3 * (c.size + (x.r - x.l) * (x.b - x.t) - {_meets('x')}))) > 0 THEN kept ELSE list_append(kept, {_THIS}) END", last=_SURVIVORS))
 def suppressed_hits(t: Tables) -> DataFrame:
     return G.suppress(t.boxes(), "page", "id", "score")
 
 
-@query("T07")
+_HOLDS = "list_filter(kept, lambda x: c.l >= x.l - 0.5 AND c.t >= x.t - 0.5 AND c.r <= x.r + 0.5 AND c.b <= x.b + 0.5)"
+
+
+@query("T07", _greedy("(r - l) * (b - t) DESC, id", f"STRUCT({_BOX})[]", ", NULL::BIGINT AS id, NULL::BIGINT AS \"into\"", f"CASE WHEN len({_HOLDS}) > 0 THEN kept ELSE list_append(kept, {_THIS}) END", f", c.id, {_HOLDS}[1].id", "SELECT id, \"into\" FROM s WHERE k > 0"))
 def absorbed_articles(t: Tables) -> DataFrame:
     return G.absorb(t.boxes(), "page", "id").select("id", "into")
 
 
-@query("T08")
+@query("T08", f"""
+WITH {BOXES} SELECT a.id, a.t, coalesce(min(b.t), any_value(a.b)) AS b FROM boxes a LEFT JOIN boxes b ON a.page = b.page AND b.t > a.t AND b.t < a.b AND least(a.r, b.r) > greatest(a.l, b.l) GROUP BY 1, 2""")
 def clipped_articles(t: Tables) -> DataFrame:
     return G.clip_overlaps(t.boxes(), "page", "id").select("id", "t", "b")
 
 
-@query("T09 M49 M56")
+_LINE = "list_filter(range(1, len(kept) + 1), lambda i: abs(kept[i].t - c.t) <= 0.5 AND c.l <= kept[i].r + 2)"
+
+
+@query("T09 M49 M56", _greedy("l, t, id", f"STRUCT({_BOX}, n BIGINT)[]", "", f"""CASE WHEN len({_LINE}) = 0 THEN list_append(kept, {_THIS[:-1]}, 'n': 1}}) ELSE list_transform(kept, lambda m, i: CASE WHEN i = {_LINE}[1]
+ THEN {{'id': m.id, 'l': m.l, 't': m.t, 'r': greatest(m.r, c.r), 'b': greatest(m.b, c.b), 'n': m.n + 1}} ELSE m END) END""", last="SELECT page, m.id, m.l, m.t, m.r, m.b, m.n FROM (SELECT page, unnest(kept) AS m FROM done)"))
 def merged_fragments(t: Tables) -> DataFrame:
     return G.merge_fragments(t.boxes(), "page", "id")
 
 
-@query("T11 I17")
+@query("T11 I17", f"""
+WITH RECURSIVE {BOXES}, x AS (SELECT a.page, a.id, list(b.id) AS others FROM boxes a JOIN boxes b ON a.page = b.page AND a.id <> b.id AND {MEET} > 0 AND NOT (a.l >= b.l AND a.t >= b.t AND a.r <= b.r AND a.b <= b.b) AND NOT (b.l >= a.l AND b.t >= a.t AND b.r <= a.r AND b.b <= a.b) GROUP BY 1, 2),
+s AS (SELECT page, 0 AS k, list({{'id': x.id, 'score': -score, 'size': -(r - l) * (b - t), 'others': others}}) AS live, NULL::BIGINT AS gone, 1 AS n FROM x JOIN boxes USING (page, id) GROUP BY 1
+ UNION ALL SELECT page, k + 1, list_filter(live, lambda m: m.id <> top.id), top.id, top.n FROM (SELECT page, k, live, list_reverse_sort(list_transform(live, lambda m: {{'n': len(list_intersect(m.others, list_transform(live, lambda o: o.id))), 'score': m.score, 'size': m.size, 'id': m.id}}))[1] AS top FROM s) WHERE top.n > 0)
+SELECT * FROM boxes WHERE id NOT IN (SELECT gone FROM s WHERE gone IS NOT NULL)""")
 def crossings_resolved(t: Tables) -> DataFrame:
     return G.resolve_crossings(t.boxes(), "page", "id", "score")
 
 
-@query("W11 Q15")
+_SEED = "list_filter(range(1, len(kept) + 1), lambda i: abs(kept[i] - c.l) <= 3)"
+
+
+@query("W11 Q15", _greedy("l, id", "DOUBLE[]", ", NULL::BIGINT AS id, NULL::BIGINT AS spot", f"CASE WHEN len({_SEED}) = 0 THEN list_append(kept, c.l) ELSE kept END", f", c.id, coalesce({_SEED}[1], len(kept) + 1) - 1", 'SELECT id, spot AS "group" FROM s WHERE k > 0'))
 def seeded_columns(t: Tables) -> DataFrame:
     return G.seed_groups(t.boxes(), "page", "id").select("id", "group")
 
@@ -236,12 +297,22 @@ def fitted_lattices(t: Tables) -> DataFrame:
     return G.lattice(t.boxes().select("page", "l"), "page", "l")
 
 
-@query("R10 R12 M58 M37")
+@query("R10 R12 M58 M37", f"""
+WITH RECURSIVE {BOXES}, g AS (SELECT DISTINCT page, CAST(trunc(l / 4) AS BIGINT) AS x, CAST(trunc(t / 4) AS BIGINT) AS y FROM boxes), c AS (SELECT DISTINCT page, x, y FROM g),
+r AS (SELECT page, x, y, x * 1000 + y AS root FROM c UNION SELECT c.page, c.x, c.y, r.root FROM r JOIN c ON c.page = r.page AND abs(c.x - r.x) <= 1 AND abs(c.y - r.y) <= 1),
+m AS (SELECT page, x, y, min(root) AS root FROM r GROUP BY 1, 2, 3), p AS (SELECT page, root, count(*) AS n, round(avg(x), 4) AS cx, round(avg(y), 4) AS cy FROM m GROUP BY 1, 2)
+SELECT page, row_number() OVER (PARTITION BY page ORDER BY root) - 1 AS component, n, cx, cy FROM p""")
 def marked_components(t: Tables) -> DataFrame:
     cells = t.boxes().select("page", (F.col("l") / 4).cast("int").alias("x"), (F.col("t") / 4).cast("int").alias("y"))
     return G.flood_components(cells, "page", "x", "y")
 
 
-@query("")
+@query("A60", """
+WITH e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, value - avg(value) OVER (PARTITION BY user_id) AS v FROM events WHERE value IS NOT NULL), p AS (SELECT user_id, sum(v * v) AS power, count(*) AS n FROM e GROUP BY 1),
+a AS (SELECT user_id, lag, coalesce(sum(x.v * y.v), 0) / any_value(power) AS r FROM p CROSS JOIN range(10, 61) AS g(lag) LEFT JOIN e x USING (user_id) LEFT JOIN e y ON y.user_id = x.user_id AND y.i = x.i + lag WHERE power > 1e-10 GROUP BY 1, 2),
+q AS (SELECT user_id, list(r ORDER BY lag) AS r FROM a GROUP BY 1), k AS (SELECT user_id, r, unnest(range(2, 51)) AS k FROM q),
+f AS (SELECT *, coalesce(list_max(list_filter(range(1, k), lambda i: r[i] > r[k])), 0) AS lo, coalesce(list_min(list_filter(range(k + 1, 52), lambda i: r[i] > r[k])), 52) AS hi FROM k WHERE r[k - 1] < r[k] AND r[k] > r[k + 1]),
+b AS (SELECT user_id, min(k) AS k FROM f WHERE r[k] - greatest(list_min(r[lo + 1:k - 1]), list_min(r[k + 1:hi - 1])) >= 0.03 GROUP BY 1)
+SELECT p.user_id, k + 9 AS lag, round(r[k], 6) AS strength FROM p LEFT JOIN b USING (user_id) LEFT JOIN q USING (user_id)""")
 def periodic_zones(t: Tables) -> DataFrame:
     return G.first_peak(t.events.select("user_id", "event_id", "value").where("value is not null"), "user_id", "event_id", "value")

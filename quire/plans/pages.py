@@ -146,7 +146,7 @@ def raised_repairs(t: Tables) -> DataFrame:
     return P.repair_tickets(t.lineitem, "column", ["l_orderkey", "l_linenumber"], reason)
 
 
-@query("K31 K32", """
+@query("K31", """
 WITH f AS (SELECT 'f' || (c_custkey % 50) || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '.v' || (c_custkey % 4 + 1) || '.bak' END AS name FROM customer), s AS (SELECT regexp_replace(name, '[.]v[0-9]+[.]bak$', '') AS file, TRY_CAST(nullif(regexp_extract(name, '[.]v([0-9]+)[.]bak$', 1), '') AS INTEGER) AS v FROM f)
 SELECT file, file || '.v' || (coalesce(max(v), 0) + 1) || '.bak' AS backup FROM s GROUP BY 1""")
 def next_backup_names(t: Tables) -> DataFrame:
@@ -223,7 +223,7 @@ def recorded_layouts(t: Tables) -> DataFrame:
     return b.select("page", (F.size("bs") - 1).cast("bigint").alias("num_columns"), F.round(F.aggregate(C.widths(F.col("bs")), F.lit(0.0), lambda a, x: a + x), 4).alias("extent"))
 
 
-@query("M65 M68 M69 S03 S04", f"""
+@query("M65 M68 M69", f"""
 WITH {BOXES} SELECT id, o_orderstatus AS issue_status, round(l - 1, 2) AS crop_left, round(r - l + 2, 2) AS crop_width FROM boxes JOIN orders ON o_orderkey = page WHERE o_orderstatus <> 'P'""")
 def crop_regions(t: Tables) -> DataFrame:
     issues = t.orders.where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("page"), F.col("o_orderstatus").alias("issue_status"))

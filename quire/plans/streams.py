@@ -1,28 +1,23 @@
 """Streaming plans run over the events table as a bounded stream."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import scratch
 from ..streaming import days
 from .catalog import Tables, query
 
 _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def _checkpoint(t: Tables) -> str:
-    root = t.spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/checkpoints"
-    return f"{root.rstrip('/')}/quire-stream-{uuid.uuid4().hex[:12]}"
-
-
 def _stream(t: Tables) -> DataFrame:
     return t.spark.readStream.schema(_EVENTS).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
 
 
 def _all(t: Tables, stream: DataFrame, mode: str = "append") -> DataFrame:
-    place = _checkpoint(t)
+    place = f"{scratch.root(t.spark)}/quire-stream-{uuid.uuid4().hex[:12]}"
     return days.run_once(stream, f"{place}/out", f"{place}/state", mode)
 
 

@@ -117,7 +117,7 @@ def entities_alive(t: Tables) -> DataFrame:
     return E.alive_around(e, "f", "l", 1996, 1)
 
 
-@query("E07 K37", """
+@query("E07", """
 SELECT event_id, user_id FROM events WHERE ts > TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-09 12:00:00'""")
 def new_since_checkpoint(t: Tables) -> DataFrame:
     return E.new_between(t.events, "ts", "2024-01-05 00:00:00", "2024-01-09 12:00:00").select("event_id", "user_id")
@@ -231,7 +231,7 @@ def widened_spans(t: Tables) -> DataFrame:
     return K.widen_spans(e, merges, "k", "f", "l")
 
 
-@query("K33 K34 K38 K40 M10", """
+@query("K33 K34 M10", """
 SELECT c_custkey, '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","orders":[' || coalesce(string_agg('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}', ',' ORDER BY o_orderkey), '') || ']}' AS document
 FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_name""")
 def nested_payloads(t: Tables) -> DataFrame:
@@ -268,13 +268,13 @@ def envelope_verdicts(t: Tables) -> DataFrame:
     return judged.select("doc_id", "rejected", F.when(F.col("rejected").isNull(), F.col("envelope.transcript_text")).alias("body"))
 
 
-@query("S08 S10", """
+@query("S08", """
 SELECT page_id, CAST(len(regexp_extract_all(html, '<a ')) AS BIGINT) AS n_links, CAST(len(regexp_extract_all(html, '<p[ >]')) AS BIGINT) AS n_paragraphs, CAST(len(regexp_extract_all(html, '<img')) AS BIGINT) AS n_images, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages""")
 def html_headings(t: Tables) -> DataFrame:
     return hocr.headings(t.pages, "page_id", "html")
 
 
-@query("S08 S09 A24 I10 I11 M19", """
+@query("S08 A24 I10 I11 M19", """
 SELECT l_orderkey AS page, CAST(l_linenumber AS INTEGER) - 1 AS block, count(*) AS n_words, round(avg(l_quantity), 2) AS confidence FROM (
  SELECT DISTINCT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem) GROUP BY 1, 2""")
 def hocr_blocks(t: Tables) -> DataFrame:

@@ -29,3 +29,9 @@ def with_verdict(df: DataFrame, raw: str, schema: str, required: tuple[str, ...]
 def joined_slices(envelope: Column) -> Column:
     """The slices' texts in index order, one per line."""
     return F.array_join(F.transform(F.array_sort(F.transform(envelope["slices"], lambda s: F.struct(s["idx"].alias("idx"), s["transcript_text"].alias("text")))), lambda s: s["text"]), "\n")
+
+
+def merged_slices(df: DataFrame, key: str, idx: str, text: str, flags: tuple[str, ...], joiner: str = "\n") -> DataFrame:
+    """One row per key: the slices' texts in index order, and for each flag whether any slice sets it; NULL is not set."""
+    rows = F.transform(F.array_sort(F.collect_list(F.struct(F.col(idx).alias("at"), F.coalesce(text, F.lit("")).alias("x")))), lambda s: s["x"])
+    return df.groupBy(key).agg(F.array_join(rows, joiner).alias(text), *(F.bool_or(F.coalesce(f, F.lit(False))).alias(f) for f in flags))

@@ -1,7 +1,13 @@
-"""OCR output in hOCR as relations, by XPath and regular expressions inside the JVM."""
+"""OCR output in hOCR as relations: blocks by XPath inside the JVM, whole documents in Arrow batches."""
 
 from __future__ import annotations
 
+import re
+import statistics
+import xml.etree.ElementTree as ET
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +46,98 @@ def headings(pages: DataFrame, key: str, html: str) -> DataFrame:
         key, F.regexp_count(h, F.lit("<a ")).cast("bigint").alias("n_links"), F.regexp_count(h, F.lit("<p[ >]")).cast("bigint").alias("n_paragraphs"),
         F.regexp_count(h, F.lit("<img")).cast("bigint").alias("n_images"), F.regexp_extract(h, "<title>([^<]*)</title>", 1).alias("title"),
     )
+
+
+#: Fixed classes of the format: lines of text, and regions without text.
+LINES = ("ocr_line", "ocr_header", "ocr_caption", "ocr_textfloat")
+REGIONS = ("ocr_separator", "ocr_photo")
+_BOX = "left_pct:double,top_pct:double,right_pct:double,bottom_pct:double"
+_DOCUMENT = (
+    "page struct<width_px:int,height_px:int,scan_res_x:int,scan_res_y:int>, "
+    f"blocks array<struct<block_idx:int,block_class:string,{_BOX},x_size_median:double,n_lines:int>>, "
+    f"lines array<struct<block_idx:int,line_class:string,{_BOX},x_size:double,x_ascenders:double,x_descenders:double,baseline_slope:double,par_top_pct:double,n_words:int,text:string>>, "
+    f"regions array<struct<region_class:string,orientation:string,{_BOX},width_px:int,height_px:int>>"
+)
+
+
+def _numbers(title: str | None, name: str) -> list[float]:
+    """The numbers after a property's name in a title."""
+    found = re.search(rf"(?:^|[;\s]){name}((?:\s+-?[0-9.]+)+)", title or "")
+    return [float(x) for x in found[1].split()] if found else []
+
+
+def _one(title: str | None, name: str) -> float | None:
+    return next(iter(_numbers(title, name)), None)
+
+
+def _box(node: ET.Element) -> tuple[int, int, int, int]:
+    return tuple(map(int, (_numbers(node.get("title"), "bbox") + [0] * 4)[:4]))
+
+
+def _percent(box: tuple[int, int, int, int], wide: int, high: int) -> dict[str, float]:
+    return {f"{side}_pct": round(x / whole * 100.0, 2) for side, x, whole in zip(("left", "top", "right", "bottom"), box, (wide, high, wide, high), strict=True)}
+
+
+def _words(line: ET.Element) -> list[ET.Element]:
+    return [w for w in line.iter() if w.get("class") == "ocrx_word"]
+
+
+def parse_document(html: str | None) -> dict | None:
+    """Page, blocks, lines and regions of one document; None if it is not well-formed or has no page.
+
+    Blocks are numbered in document order; regions have no number.  Percentages have two decimals.
+    """
+    try:
+        root = ET.fromstring(html or "")
+    except ET.ParseError:
+        return None
+    sheet = next((n for n in root.iter() if n.get("class") == "ocr_page"), None)
+    if sheet is None:
+        return None
+    x0, y0, x1, y1 = _box(sheet)
+    scan = (_numbers(sheet.get("title"), "scan_res") + [None, None])[:2]
+    wide, high = max(1, x1 - x0), max(1, y1 - y0)
+    out = {"page": {"width_px": x1 - x0, "height_px": y1 - y0, "scan_res_x": scan[0] and int(scan[0]), "scan_res_y": scan[1] and int(scan[1])}, "blocks": [], "lines": [], "regions": []}
+    for node in sheet:
+        kind, box = node.get("class"), _box(node)
+        w, h = box[2] - box[0], box[3] - box[1]
+        if kind in REGIONS:
+            shape = "vertical" if h >= 2 * w else "horizontal" if w >= 2 * h else "block"
+            out["regions"].append({"region_class": kind, "orientation": shape, **_percent(box, wide, high), "width_px": w, "height_px": h})
+        elif kind == "ocr_carea":
+            number, sizes = len(out["blocks"]), []
+            before = len(out["lines"])
+            for paragraph in (p for p in node.iter() if p.get("class") == "ocr_par"):
+                for line in (n for n in paragraph if n.get("class") in LINES):
+                    title, words = line.get("title"), _words(line)
+                    size = _one(title, "x_size")
+                    sizes += [size] if size else []
+                    out["lines"].append({
+                        "block_idx": number, "line_class": line.get("class"), **_percent(_box(line), wide, high), "x_size": size, "x_ascenders": _one(title, "x_ascenders"), "x_descenders": _one(title, "x_descenders"),
+                        "baseline_slope": _one(title, "baseline"), "par_top_pct": _percent(_box(paragraph), wide, high)["top_pct"], "n_words": len(words), "text": " ".join(t for t in ((x.text or "").strip() for x in words) if t),
+                    })
+            out["blocks"].append({"block_idx": number, "block_class": kind, **_percent(box, wide, high), "x_size_median": round(statistics.median(sizes), 2) if sizes else None, "n_lines": len(out["lines"]) - before})
+    return out
+
+
+def documents(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Rows ``key, page, blocks, lines, regions``, one per document; NULLs for a document that can't be read."""
+    rows = pages.select(F.col(key).alias("key"), F.col(html).alias("html"))
+    schema = f"key {dict(rows.dtypes)['key']}, {_DOCUMENT}"
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [parse_document(x.as_py()) or {} for x in batch.column(1)]
+            columns = [pa.array([d.get(kinds.field(k).name) for d in found], kinds.field(k).type) for k in range(1, len(kinds))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=kinds)
+
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
+
+
+def relation(found: DataFrame, key: str, name: str) -> DataFrame:
+    """One of the relations ``blocks``, ``lines`` and ``regions``, or the ``page``, of parsed documents."""
+    return found.select(key, "page.*").where("width_px is not null") if name == "page" else found.select(key, F.inline(name))

@@ -65,3 +65,16 @@ def nested_json(parent: DataFrame, child: DataFrame, key: str, order: str, name:
     kids = child.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, *(c for c in fields if c != order)))).alias(name))
     joined = parent.join(kids, key, "left")
     return joined.select(key, F.to_json(F.struct(*parent.columns, F.coalesce(name, F.array().cast(kids.schema[name].dataType)).alias(name))).alias("document"))
+
+
+def raster_regions(df: DataFrame, box: tuple[str, str, str, str], page_width: float, page_height: float, least_width: float = 30.0, least_height: float = 30.0, most: float = 0.8) -> DataFrame:
+    """Embedded images without those too small to be a picture and those that cover the page, its own scan."""
+    x0, y0, x1, y1 = map(F.col, box)
+    return df.where((x1 - x0 >= least_width) & (y1 - y0 >= least_height) & ((x1 - x0) * (y1 - y0) <= most * page_width * page_height))
+
+
+def layout_blocks(df: DataFrame, raw: str, width: Column, height: Column) -> DataFrame:
+    """Add ``pixels``, ``polygon`` (percent, two decimals) and ``n_points`` from a JSON list of points; NULL and 0 if there is none."""
+    points = F.from_json(raw, "array<array<double>>")
+    percent = F.transform(points, lambda p: F.array(F.round(p[0] / width * 100, 2), F.round(p[1] / height * 100, 2)))
+    return df.withColumn("pixels", points).withColumn("polygon", percent).withColumn("n_points", F.coalesce(F.size(points), F.lit(0)))

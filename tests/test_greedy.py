@@ -86,8 +86,11 @@ def test_components_and_period(spark):
     cells = spark.createDataFrame([(1, 0, 0), (1, 1, 1), (1, 5, 5), (2, 0, 0)], "page bigint, x int, y int")
     assert sorted((r["page"], r["n"]) for r in G.flood_components(cells, "page", "x", "y").collect()) == [(1, 1), (1, 2), (2, 1)]
     wave = spark.createDataFrame([(1, k, float(np.cos(2 * np.pi * k / 9))) for k in range(90)] + [(2, 0, 1.0)], "k bigint, at bigint, v double")
-    got = {r["k"]: r["lag"] for r in G.first_peak(wave, "k", "at", "v").collect()}
+    got = {r["k"]: r["lag"] for r in G.first_peak(wave, "k", "at", "v", low=2, high=40).collect()}
     assert got == {1: 9, 2: None}
+    assert {r["k"]: r["lag"] for r in G.first_peak(wave, "k", "at", "v").collect()} == {1: 18, 2: None}  # lags from 10 on
+    flat = spark.createDataFrame([(1, k, 0.02 * np.cos(2 * np.pi * k / 13) + (k % 2)) for k in range(400)], "k bigint, at bigint, v double")
+    assert G.first_peak(flat, "k", "at", "v").first()["lag"] == 12  # the strong period of two, not the faint one of 13
 
 
 def test_join_slices(spark):

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import mutations as K
-from quire.operators import graph, similarity  # noqa: E402
+from quire.operators import graph, similarity
 from quire.operators.graph import connected_components
-from quire.sources import envelopes, hocr, scratch, tables
+from quire.sources import control, envelopes, hocr, namespaces, scratch, tables
 from quire.streaming import days
 
 
@@ -139,3 +139,42 @@ def test_components_with_hubs(spark, monkeypatch):
     edges = [(0, k) for k in range(1, 300)] + [(500, k) for k in range(501, 700)] + [(299, 800), (801, 800), (900, 901)]
     got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u bigint, v bigint"), scratch.stored).collect()}
     assert got == {k: 0 for k in [*range(300), 800, 801]} | {k: 500 for k in range(500, 700)} | {900: 900, 901: 900}
+
+
+def test_hocr_documents_of_odd_pages(spark):
+    good = "<div class='ocr_page' title='bbox 0 0 200 100'><div class='ocr_photo' title='bbox 0 0 50 50'/><div class='ocr_carea' title='bbox 10 10 20 20'><p class='ocr_par'><span class='ocr_line' title='baseline -0.5 2; x_size 9.5'><span class='ocrx_word'>a</span><span class='ocrx_word'/></span></p></div><div class='ocr_carea'/></div>"
+    rows = [(1, good), (2, None), (3, ""), (4, "<div>"), (5, "<html/>")]
+    found = hocr.documents(spark.createDataFrame(rows, "id bigint, html string"), "id", "html").cache()
+    assert {r["id"] for r in found.collect() if r["page"] is None} == {2, 3, 4, 5} and found.count() == 5
+    assert [(r["block_idx"], r["n_lines"], r["x_size_median"]) for r in hocr.relation(found, "id", "blocks").orderBy("block_idx").collect()] == [(0, 1, 9.5), (1, 0, None)]
+    line = hocr.relation(found, "id", "lines").first()
+    assert (line["text"], line["n_words"], line["baseline_slope"]) == ("a", 2, -0.5)
+    assert [(r["orientation"], r["right_pct"]) for r in hocr.relation(found, "id", "regions").collect()] == [("block", 25.0)]
+    assert hocr.relation(found, "id", "page").first()["scan_res_x"] is None
+
+
+def test_checkpoint_in_two_phases(spark, tmp_path):
+    mark = control.Checkpoint(spark, f"{tmp_path}/deep/state.json")
+    assert mark.begin("a") == (None, "a") and mark.begin("b") == (None, "a")
+    mark.commit()
+    mark.commit()
+    assert mark.begin("c") == ("a", "c")
+    control.write_json(spark, f"{tmp_path}/x.json", {"k": "\u00e9\n"})
+    assert control.read_json(spark, f"{tmp_path}/x.json") == {"k": "\u00e9\n"} and control.read_json(spark, f"{tmp_path}/none.json") is None
+
+
+def test_namespaces_are_read_only(spark):
+    names = namespaces.attach(spark, "one", {"t": spark.range(3)}) + namespaces.attach(spark, "two", {"t": spark.range(2, 5)})
+    assert spark.sql("SELECT a.id FROM one_t a JOIN two_t b USING (id)").count() == 1
+    with pytest.raises(Exception, match="(?i)insert|view|not allowed|unsupported"):
+        spark.sql("INSERT INTO one_t VALUES (9)")
+    namespaces.detach(spark, names)
+    assert not spark.catalog.tableExists("one_t")
+
+
+def test_snapshot_comes_before_the_delete(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "k int, v string")
+    kept = tables.snapshot_then_delete(rows, F.col("v") == "a", str(tmp_path / "snap"))
+    assert sorted(r["k"] for r in kept.collect()) == [2, 3]
+    with pytest.raises(Exception, match="(?i)exists"):
+        tables.snapshot_then_delete(rows, F.col("v") == "b", str(tmp_path / "snap"))
