@@ -89,7 +89,7 @@ def test_components_and_period(spark):
     got = {r["k"]: r["lag"] for r in G.first_peak(wave, "k", "at", "v", low=2, high=40).collect()}
     assert got == {1: 9, 2: None}
     assert {r["k"]: r["lag"] for r in G.first_peak(wave, "k", "at", "v").collect()} == {1: 18, 2: None}  # lags from 10 on
-    flat = spark.createDataFrame([(1, k, 0.02 * np.cos(2 * np.pi * k / 13) + (k % 2)) for k in range(400)], "k bigint, at bigint, v double")
+    flat = spark.createDataFrame([(1, k, float(0.02 * np.cos(2 * np.pi * k / 13) + (k % 2))) for k in range(400)], "k bigint, at bigint, v double")
     assert G.first_peak(flat, "k", "at", "v").first()["lag"] == 12  # the strong period of two, not the faint one of 13
 
 
