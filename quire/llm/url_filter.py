@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import mmap
 import os
+import re
 import struct
 import tempfile
 from collections.abc import Iterator, Sequence
@@ -28,15 +29,15 @@ VERDICTS = ("allow", "block")
 _OPEN: dict[str, RuleArray] = {}
 
 
+_PARTS = re.compile(r"([^/?#]*)([^?#]*)", re.DOTALL)
+
+
 def split_url(url: str | None) -> tuple[str, str]:
     """Host (A-Z lower-cased) and path; both empty without ``://``."""
     if url is None or (at := url.find("://")) < 0:
         return "", ""
-    rest = url[at + 3 :]
-    end = next((i for i, c in enumerate(rest) if c in "/?#"), len(rest))
-    path = rest[end:]
-    stop = next((i for i, c in enumerate(path) if c in "?#"), len(path))
-    return rest[:end].encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"), path[:stop]
+    host, path = _PARTS.match(url, at + 3).groups()
+    return host.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"), path
 
 
 def _key(host: bytes, path: bytes) -> bytes:
@@ -90,7 +91,11 @@ class RuleArray:
 
 
 def judge(array: RuleArray, urls: Sequence[str | None], default: str = "allow") -> list[tuple[str, str, str | None, str]]:
-    """``(host, path, rule, verdict)`` of each URL; the longest fitting rule wins, of equal lengths the longer host."""
+    """``(host, path, rule, verdict)`` of each URL; the longest fitting rule wins, of equal lengths the longer host.
+
+    A URL takes a probe for each suffix of its host at a label and each length of a path among the rules that
+    its path reaches, so the work grows with the number of different path lengths, not with the number of rules.
+    """
     parts, probes, owner = [split_url(u) for u in urls], [], []
     for i, (host, path) in enumerate(parts):
         h, p = host.encode("utf-8", "surrogatepass"), path.encode("utf-8", "surrogatepass")
@@ -122,8 +127,9 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], id_col:
     """One row per page: ``page_id, host, path, rule, verdict``.
 
     A rule fits its host and all its subdomains if the URL's path starts with the rule's.  A URL that is
-    NULL or has no ``://`` has an empty host and path; it, like any URL no rule fits, gets ``default``.
-    Repeated rows are judged each; an empty rule list leaves ``default`` everywhere.
+    NULL or has no ``://`` has an empty host and path; it, like any URL no rule fits, gets ``default``.  A URL is
+    read whole.  Of rules with one host and path the first counts.  Repeated rows are judged each, a NULL id stays
+    NULL; an empty table gives no rows, an empty rule list leaves ``default`` everywhere.  Other columns are ignored.
     """
     data = build_array(rules)
     name = f"rules-{hashlib.sha256(data).hexdigest()[:24]}.bin"

@@ -433,6 +433,29 @@ def test_urls(spark, sf):
     assert url_filter.filter_urls(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_urls_that_are_long_or_repeated(spark):
+    deep, far = "http://" + "a." * 3000 + "example.com/en/x", "http://h.net/es/" + "y" * 100_000 + "?q"
+    rows = [(1, deep), (1, deep), (2, far), (2, far), (None, "http://www.example.com/en/"), (3, "http:///fr/"), (4, "://"), (5, "a://b\nc.com/d\n")]
+    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string").withColumn("host", F.lit(1)), queries.URL_RULES).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((i, *brute.url(u)) for i, u in rows), key=str)
+
+
+def test_a_million_rules(tmp_path):
+    """Every rule is found among 1,000,000, nothing else is; a look-up costs a binary search."""
+    import time
+
+    path = tmp_path / "rules"
+    path.write_bytes(url_filter.build_array([(f"h{k}.example{k % 7}.org", "/" if k % 2 else "/x/", url_filter.VERDICTS[k % 2]) for k in range(1_000_000)]))
+    array = url_filter.RuleArray(str(path))
+    some = range(0, 1_000_000, 101)
+    began = time.perf_counter()
+    got = url_filter.judge(array, [f"http://www.h{k}.example{k % 7}.org/x/y" for k in some])
+    miss = url_filter.judge(array, [f"http://h{k}.example{(k + 1) % 7}.org/x/y" for k in some])
+    assert time.perf_counter() - began < 20
+    assert [g[2:] for g in got] == [(f"h{k}.example{k % 7}.org" + ("/" if k % 2 else "/x/"), url_filter.VERDICTS[k % 2]) for k in some]
+    assert {m[2:] for m in miss} == {(None, "allow")}
+
+
 def test_url_collisions(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda b: len(b) % 3)
     path = tmp_path / "rules"
