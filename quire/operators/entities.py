@@ -23,7 +23,8 @@ def roll_up(mentions: DataFrame, name: str, seq: str, day: str) -> DataFrame:
 def duplicate_pairs(entities: DataFrame, key: str, name: str, least: int = 4, people: DataFrame | None = None, places: DataFrame | None = None) -> DataFrame:
     """Candidate duplicates: equal normalised names (0.9), or one containing the other (0.3).
 
-    Containment is blocked by the first character, as only names that start alike are compared.  Names of
+    Only names that start alike are compared.  The shorter name is filed under its first character and its first
+    three, the longer one under its first character and every three it holds, so names meet in an equi-join.  Names of
     an equal normalised form are grouped first, so a group of copies gives a chain of pairs to its first
     member rather than all pairs.  A contained name is no truncation if it is a place (``places`` has a column
     ``name``) or a single word that begins several of the names in ``people`` (likewise): a first name.
@@ -31,15 +32,18 @@ def duplicate_pairs(entities: DataFrame, key: str, name: str, least: int = 4, pe
     normal = entities.select(F.col(key).alias("id"), dedup_key(F.col(name)).alias("norm")).where("norm <> ''")
     heads = normal.groupBy("norm").agg(F.min("id").alias("head"))
     exact = normal.join(heads, "norm").where("id <> head").select(F.col("head").alias("id_a"), F.col("id").alias("id_b"), F.lit(0.9).alias("confidence"))
-    a = heads.select(F.substr("norm", F.lit(1), F.lit(1)).alias("block"), F.col("norm").alias("na"), F.col("head").alias("ha"))
-    b = heads.select(F.substr("norm", F.lit(1), F.lit(1)).alias("block"), F.col("norm").alias("nb"), F.col("head").alias("hb"))
+    size = max(1, min(3, least))
+    gram = lambda at: F.concat(F.substr("norm", F.lit(1), F.lit(1)), F.substr("norm", at, F.lit(size)))
+    a = heads.where(F.char_length("norm") >= least).select(gram(F.lit(1)).alias("block"), F.col("norm").alias("na"), F.col("head").alias("ha"))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length("norm") - size + 1), gram))
+    b = heads.where(F.char_length("norm") > least).select(F.explode(grams).alias("block"), F.col("norm").alias("nb"), F.col("head").alias("hb"))
     if places is not None:
         a = a.join(places.select(dedup_key(F.col("name")).alias("na")).distinct(), "na", "left_anti").select("block", "na", "ha")
     if people is not None:
         word = F.lower(F.substring_index(F.trim("name"), " ", 1))
         often = people.select("name", word.alias("na")).groupBy("na").agg(F.countDistinct("name").alias("n")).where("n > 1")
         a = a.join(often, "na", "left_anti").select("block", "na", "ha")
-    near = a.join(b, "block").where((F.col("na") != F.col("nb")) & (F.char_length("na") >= least) & F.contains("nb", "na"))
+    near = a.join(b, "block").where((F.col("na") != F.col("nb")) & F.contains("nb", "na"))
     partial = near.select(F.least("ha", "hb").alias("id_a"), F.greatest("ha", "hb").alias("id_b"), F.lit(0.3).alias("confidence"))
     return exact.union(partial.distinct())
 

@@ -110,8 +110,9 @@ WITH r AS (SELECT p_brand, p_partkey, p_retailprice, row_number() OVER (PARTITIO
 f AS (SELECT p_brand, min(p_retailprice) AS floor FROM r WHERE r >= least(n, CAST(floor(n * 0.1) AS BIGINT) + 1) GROUP BY 1)
 SELECT p_partkey, f.floor AS decile_floor, CASE WHEN p_size % 3 = 0 THEN p_retailprice * 0.5 ELSE p_retailprice END AS weight FROM part JOIN f USING (p_brand) WHERE p_retailprice >= f.floor""")
 def decile_weights(t: Tables) -> DataFrame:
-    n = F.col("n")
-    floors = t.part.groupBy("p_brand").agg(F.array_sort(F.collect_list("p_retailprice")).alias("hs"), F.count("*").alias("n")).select("p_brand", F.get("hs", F.least(n, F.floor(n * F.lit(0.1)) + 1).cast("int") - 1).alias("decile_floor"))
+    brand = Window.partitionBy("p_brand")
+    ranked = t.part.select("p_brand", "p_retailprice", F.row_number().over(brand.orderBy("p_retailprice", "p_partkey")).alias("r"), F.count("*").over(brand).alias("n"))
+    floors = ranked.where(F.col("r") >= F.least("n", F.floor(F.col("n") * F.lit(0.1)) + 1)).groupBy("p_brand").agg(F.min("p_retailprice").alias("decile_floor"))
     kept = t.part.join(floors, "p_brand").where("p_retailprice >= decile_floor")
     return kept.select("p_partkey", "decile_floor", F.when(F.col("p_size") % 3 == 0, F.col("p_retailprice") * 0.5).otherwise(F.col("p_retailprice")).alias("weight"))
 
