@@ -7,6 +7,7 @@ from math import ceil
 from .decontaminate import SIMILARITY, STRETCH
 from .line_dedup import MIN_CHARS
 from .queries import URL_RULES
+from .secret_scan import BASE, EXTRA
 from .substring_dedup import WINDOW
 
 NEED = ceil(SIMILARITY * STRETCH)
@@ -53,5 +54,20 @@ best AS (SELECT page_id, max_by(rh || rp, length(rh || rp)) AS rule, max_by(verd
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (page_id)"""
 
 
+def _op8() -> str:
+    """Every rule as lists of gaps, matches and groups; positions are sums over them."""
+    lists, spans = [], []
+    for place, r in enumerate(BASE + EXTRA):
+        pattern = r.pattern.replace("'", "''")
+        lists.append(f"regexp_split_to_array(x, '{pattern}') AS g{place}, regexp_extract_all(x, '{pattern}', 0) AS m{place}, regexp_extract_all(x, '{pattern}', {r.group}) AS n{place}")
+        start = f"CAST(list_sum(list_transform(g{place}[1:i], lambda s: length(s))) + coalesce(list_sum(list_transform(m{place}[1:i - 1], lambda s: length(s))), 0) AS BIGINT)"
+        spans.append(f"list_transform(list_filter(range(1, len(m{place}) + 1), lambda i: length(n{place}[i]) >= {r.least}), lambda i: {{'s': {start}, 'p': {place}, 'e': {start} + length(m{place}[i]), 'k': '{r.kind}'}}) AS s{place}")
+    said = "array_to_string(list_transform(list_sort(list_concat({})), lambda z: z.k || ':' || z.s || ':' || z.e), ',')"
+    base, every = (said.format(", ".join(f"s{k}" for k in range(n))) for n in (len(BASE), len(BASE + EXTRA)))
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS x FROM documents), parts AS (SELECT doc_id, {", ".join(lists)} FROM docs), found AS (SELECT doc_id, {", ".join(spans)} FROM parts)
+SELECT doc_id, {", ".join(f"CAST(len(s{k}) AS BIGINT) AS n_{r.kind}" for k, r in enumerate(BASE))}, sha256({base}) AS base_sha256, {every} AS spans FROM found"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op2_decontaminate": OP2, "op3_substring_dedup": OP3, "op6_url_filter": OP6}
+    return {"op1_line_dedup": OP1, "op2_decontaminate": OP2, "op3_substring_dedup": OP3, "op6_url_filter": OP6, "op8_secret_scan": _op8()}
