@@ -116,7 +116,11 @@ def nomenclature_gaps(t: Tables) -> DataFrame:
     return P.vocabulary_gaps(products, terms, "p_name", "category").select("p_partkey", "action")
 
 
-@query("X22")
+@query("X22", r"""
+WITH e AS (SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS x FROM documents),
+r AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(x, '(?m)^-{2,}$', '<hr>', 'g'), '(?m)^## (.*)$', '<h2>\1</h2>', 'g'), '(?m)^# (.*)$', '<h1>\1</h1>', 'g') AS x FROM e),
+i AS (SELECT doc_id, regexp_replace(regexp_replace(x, '\*\*([^*\n]+)\*\*', '<b>\1</b>', 'g'), '\*([^*\n]+)\*', '<i>\1</i>', 'g') AS x FROM r)
+SELECT doc_id, CASE WHEN x IS NOT NULL THEN array_to_string(list_transform(list_filter(regexp_split_to_array(x, '\n\s*\n'), lambda b: trim(b) <> ''), lambda b: CASE WHEN regexp_matches(b, '^<(h[12]|hr)>') THEN b ELSE '<p>' || b || '</p>' END), chr(10)) END AS html FROM i""")
 def rendered_transcripts(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", P.render_html(F.col("text")).alias("html"))
 

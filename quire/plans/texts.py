@@ -76,12 +76,27 @@ def content_hashes(t: Tables) -> DataFrame:
     return g.select("o_custkey", content.alias("content"), X.prompt_hash(F.lit("template"), F.struct(F.col("o_custkey").alias("a"), "n")).alias("prompt"))
 
 
-@query("X10 X11 W13 I20 I22 I23")
+def _overlap(a: str, b: str) -> str:
+    """SQL for the merged line of two, NULL where they do not overlap."""
+    n = f"list_filter(list_reverse(range(20, least(length({a}), length({b})))), lambda n: right({a}, n) = left({b}, n) AND substr({a}, length({a}) - n, 1) = ' ')[1]"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN NULL WHEN {a} = {b} THEN {a} WHEN starts_with({b}, {a}) THEN {b} WHEN ends_with({a}, {b}) THEN {a} WHEN {n} IS NOT NULL THEN {a} || substr({b}, {n} + 1) END"
+
+
+@query("X10 X11 W13 I20 I22 I23", f"""
+WITH RECURSIVE c AS (SELECT conv_id, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS k FROM conversations),
+s AS (SELECT DISTINCT conv_id, 0::BIGINT AS k, '' AS joined, CAST([] AS BIGINT[]) AS starts, 0::BIGINT AS merged FROM c
+ UNION ALL SELECT conv_id, k, CASE WHEN joined = '' THEN x WHEN m IS NULL THEN joined || chr(10) || x ELSE CASE WHEN head = '' THEN '' ELSE head || chr(10) END || m || substr(x, length(first) + 1) END,
+  list_append(starts, CASE WHEN joined = '' THEN 0 WHEN m IS NULL THEN length(joined) + 1 WHEN head = '' THEN 0 ELSE length(head) + 1 END), merged + CASE WHEN joined <> '' AND m IS NOT NULL THEN 1 ELSE 0 END
+ FROM (SELECT *, {_overlap('a', 'b')} AS m FROM (SELECT *, trim(last) AS a, trim(first) AS b, left(joined, greatest(0, length(joined) - length(last) - 1)) AS head
+  FROM (SELECT s.conv_id, c.k, joined, starts, merged, x, string_split(joined, chr(10))[-1] AS last, string_split(x, chr(10))[1] AS first FROM s JOIN c ON c.conv_id = s.conv_id AND c.k = s.k + 1)))),
+d AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) AS r FROM s) SELECT conv_id, joined, array_to_string(starts, ',') AS starts, merged FROM d WHERE r = 1""")
 def stitched_transcripts(t: Tables) -> DataFrame:
-    return G.join_slices(t.conversations.select("conv_id", "turn", "text"), "conv_id", "turn", "text")
+    return G.join_slices(t.conversations.select("conv_id", "turn", "text"), "conv_id", "turn", "text").withColumn("starts", F.array_join("starts", ","))
 
 
-@query("X10")
+@query("X10", f"""
+WITH x AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations), l AS (SELECT *, trim(string_split(before, chr(10))[-1]) AS a, trim(string_split(text, chr(10))[1]) AS b FROM x)
+SELECT conv_id, turn, {_overlap('a', 'b')} AS merged FROM l""")
 def stitched_neighbours(t: Tables) -> DataFrame:
     w = Window.partitionBy("conv_id").orderBy("turn")
     rows = t.conversations.withColumn("before", F.lag("text").over(w))
@@ -342,7 +357,11 @@ def embedding_clusters(t: Tables) -> DataFrame:
     return S.clusters(t.embeddings, "vec_id", "embedding", 0.9, _keep)
 
 
-@query("A58")
+@query("A58", """
+WITH u AS (SELECT label, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS v FROM embeddings),
+e AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM u), m AS (SELECT label, pos, avg(x) AS x FROM e GROUP BY 1, 2), c AS (SELECT label, list(x ORDER BY pos) AS c FROM m GROUP BY 1),
+s AS (SELECT label, vec_id, round(list_inner_product(v, c) / sqrt(list_inner_product(c, c)), 6) AS s FROM u JOIN c USING (label)), r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY s DESC, vec_id) AS r, count(*) OVER (PARTITION BY label) AS size FROM s)
+SELECT label, size, vec_id AS exemplar, round(s, 4) AS similarity FROM r WHERE r = 1""")
 def cluster_exemplars(t: Tables) -> DataFrame:
     return S.exemplars(t.embeddings, "vec_id", "embedding", "label")
 
