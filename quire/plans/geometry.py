@@ -292,7 +292,12 @@ def union_outlines(t: Tables) -> DataFrame:
     return G.outlines(t.boxes(), "page")
 
 
-@query("R03 R04 R08 R09 I18")
+@query("R03 R04 R08 R09 I18", f"""
+WITH {BOXES}, offsets AS (SELECT 8 + i * 0.25::DOUBLE AS pitch, j * 0.25::DOUBLE AS o FROM range(48) AS p(i), range(80) AS q(j) WHERE j < 32 + i),
+hits AS (SELECT l, pitch, o FROM (SELECT DISTINCT l FROM boxes) CROSS JOIN offsets WHERE abs(((l - o + pitch / 2) % pitch + pitch) % pitch - pitch / 2) <= 0.6),
+h AS (SELECT page, pitch, o, count(*) AS k FROM boxes JOIN hits USING (l) GROUP BY ALL), n AS (SELECT page, count(*) AS n FROM boxes GROUP BY 1),
+s AS (SELECT *, round((k / n - least(1, 1.2::DOUBLE / pitch)) / greatest(1 - least(1, 1.2::DOUBLE / pitch), 1e-9), 6) AS score FROM h JOIN n USING (page))
+SELECT page, b.pitch AS pitch, b.o AS "offset", b.score AS score, n FROM (SELECT page, any_value(n) AS n, max({{'score': score, 'p': -pitch, 'q': -o, 'pitch': pitch, 'o': o}}) AS b FROM s GROUP BY 1)""")
 def fitted_lattices(t: Tables) -> DataFrame:
     return G.lattice(t.boxes().select("page", "l"), "page", "l")
 

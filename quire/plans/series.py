@@ -209,10 +209,12 @@ def nearest_template(t: Tables) -> DataFrame:
     return top_per_key(joined, ["c_custkey"], [far, F.asc("o_orderkey")], 1).select("c_custkey", "o_orderkey")
 
 
-@query("T12 T14")
+@query("T12 T14", """
+SELECT year, row_number() OVER (ORDER BY md5('42:' || year)) AS turn FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)""")
 def shuffled_years(t: Tables) -> DataFrame:
     years = t.orders.select(F.year("o_orderdate").alias("year")).distinct()
-    return years.withColumn("turn", F.row_number().over(Window.orderBy(F.xxhash64("year", F.lit(42)), "year")))
+    seeded = F.md5(F.concat(F.lit("42:"), F.col("year").cast("string")).cast("binary"))
+    return years.withColumn("turn", F.row_number().over(Window.orderBy(seeded)))
 
 
 @query("W14 W15 E08", """
