@@ -5,6 +5,9 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
+import numpy as np  # noqa: E402
+
+from quire.llm import quality_classifier  # noqa: E402
 
 
 def test_pipeline(spark, sf):
@@ -19,7 +22,13 @@ def test_pipeline(spark, sf):
         if stage is not corpus_pipeline.STAGES[-1][1]:
             assert got.columns == docs.columns and got.dtypes == docs.dtypes
         texts = [(d, r["text"]) for d, r in before.items()]
-        if name == "line dedup":
+        if name == "quality classifier":
+            model = quality_classifier.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+            views = [(np.array([quality_classifier.content_view(r["text"])]), np.array([quality_classifier.metadata_view(r["source"], r["lang"], r["n_chars"])])) for r in before.values()]
+            assert set(after) == {d for d, v in zip(before, views, strict=True) if model.score(*v)[0] >= model.threshold}
+            bad = {r["doc_id"] for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 0").collect()} & set(before)
+            assert len(bad & set(after)) < 0.3 * len(bad)
+        elif name == "line dedup":
             want = brute.line_dedup(texts)
             assert {d: brute.sha(r["text"]) for d, r in after.items()} == {d: v[0][2] for d, v in want.items()}
             assert all(r["n_chars"] == len(r["text"]) for r in after.values())
