@@ -33,9 +33,9 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 def classify_path(path: Column) -> Column:
-    """``struct<kind, page, col>`` of an archive path; a NULL kind for files of no known kind."""
+    """``struct<kind, page, col>`` of an archive path; a NULL kind for files of no known kind, a NULL number beyond int."""
     name = F.substring_index(path, "/", -1)
-    number = lambda rx: F.call_function("try_to_number", F.nullif(F.regexp_extract(name, rx, 1), F.lit("")), F.lit("99999")).cast("int")
+    number = lambda rx: F.nullif(F.regexp_extract(name, rx, 1), F.lit("")).try_cast("int")
     kind = F.when(name.rlike(r"_col[0-9]+\.png$"), "column").when(name.rlike(r"_ad[0-9]+\.png$"), "ad").when(name.rlike(r"\.pdf$"), "scan").when(name.rlike(r"\.json$"), "analysis")
     return F.struct(kind.alias("kind"), number(r"_p([0-9]+)").alias("page"), number(r"_col([0-9]+)").alias("col"))
 

@@ -25,6 +25,12 @@ def test_listing_and_classification(spark, tmp_path):
     assert got["sha256"].startswith("ba7816bf") and got["c"].asDict() == {"kind": "column", "page": 3, "col": 7}
 
 
+def test_numbers_of_paths_have_any_length(spark):
+    paths = spark.createDataFrame([("a/x_p99999_col4.png",), ("a/x_p100000_col123456.png",), ("x_p0000012.pdf",), ("x_p99999999999.pdf",)], "path string")
+    got = [tuple(r) for r in paths.select(tables.classify_path(F.col("path")).alias("c")).select("c.*").collect()]
+    assert got == [("column", 99999, 4), ("column", 100000, 123456), ("scan", 12, None), ("scan", None, None)]
+
+
 def test_partition_replace(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.append(spark.createDataFrame([(1, "a"), (2, "a")], "page int, v string"), path, ["page"])
