@@ -10,6 +10,20 @@ from pyspark.sql import functions as F
 from .columns import Box, centre_inside, iou, overlap_share, shared_area
 
 
+#: Most rows of a part that :func:`by_page` deals out, on average, and how few are worth a part.
+PART_ROWS, LEAST_ROWS = 250_000, 20_000
+
+
+def by_page(df: DataFrame, page: str) -> DataFrame:
+    """Rows dealt out by page into parts whose number grows with the rows, so that no task grows with the table.
+
+    Grouping, windows and joins on the page, alone or with other columns, need no further exchange.  Shuffles of a fixed
+    number of parts grow with the table instead, and partial sums of keys that seldom repeat only fill memory.
+    """
+    rows, usual = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(-(-rows // LEAST_ROWS), max(usual, -(-rows // PART_ROWS)))), page)
+
+
 def latest_all(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
     """All rows whose ``at`` is their key's maximum: ties survive."""
     return df.withColumn("_r", F.rank().over(Window.partitionBy(*keys).orderBy(F.col(at).desc_nulls_last()))).where("_r = 1").drop("_r")

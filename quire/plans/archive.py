@@ -41,18 +41,26 @@ WITH {_PARTS}, u AS (
  UNION ALL SELECT page, 'page', NULL, NULL, 0, 0, 100, 200, 300, 1000, '2000' FROM n GROUP BY page)
 SELECT page, relation, block_idx, class, round(l, 2) AS left_pct, round(t / 2, 2) AS top_pct, round(r, 2) AS right_pct, round(b / 2, 2) AS bottom_pct, CAST(size AS DOUBLE) AS size, n, text FROM u""")
 def hocr_relations(t: Tables) -> DataFrame:
-    found = hocr.documents(_hocr(t).withColumnRenamed("page", "id"), "id", "html")
-    none, box = F.lit(None), ("left_pct", "top_pct", "right_pct", "bottom_pct")
-    parts = [
-        hocr.relation(found, "id", "blocks").withColumnRenamed("id", "page").select("page", F.lit("block").alias("relation"), "block_idx", F.col("block_class").alias("class"), *box, F.col("x_size_median").alias("size"), F.col("n_lines").alias("n"), none.cast("string").alias("text")),
-        hocr.relation(found, "id", "lines").withColumnRenamed("id", "page").where("baseline_slope = 0.01 and x_ascenders = 2 and x_descenders is null and par_top_pct = top_pct").select("page", F.lit("line"), "block_idx", "line_class", *box, "x_size", "n_words", "text"),
-        hocr.relation(found, "id", "regions").withColumnRenamed("id", "page").where("width_px = 20").select("page", F.lit("region"), none.cast("int"), "region_class", *box, none.cast("double"), "height_px", "orientation"),
-    ]
-    parts.append(hocr.relation(found, "id", "page").withColumnRenamed("id", "page").select("page", F.lit("page"), none.cast("int"), none.cast("string"), F.lit(0.0), F.lit(0.0), F.lit(100.0), F.lit(100.0), F.col("scan_res_x").cast("double"), "width_px", F.col("height_px").cast("string")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    # One pass over the parsed documents: four relations as one array, so no document is parsed again for each of them.
+    found, none = hocr.documents(_hocr(t).withColumnRenamed("page", "id"), "id", "html"), F.lit(None)
+    names = ("left_pct", "top_pct", "right_pct", "bottom_pct")
+
+    def row(relation: str, number, cls, box, size, n, text):
+        return F.struct(
+            F.lit(relation).alias("relation"), number.cast("int").alias("block_idx"), cls.cast("string").alias("class"),
+            *(x.cast("double").alias(name) for x, name in zip(box, names, strict=True)), size.cast("double").alias("size"), n.cast("int").alias("n"), text.cast("string").alias("text"),
+        )
+
+    of = lambda x: [x[name] for name in names]
+    good = lambda x: (x["baseline_slope"] == 0.01) & (x["x_ascenders"] == 2) & x["x_descenders"].isNull() & (x["par_top_pct"] == x["top_pct"])
+    p = F.col("page")
+    parts = F.concat(
+        F.transform("blocks", lambda x: row("block", x["block_idx"], x["block_class"], of(x), x["x_size_median"], x["n_lines"], none)),
+        F.transform(F.filter("lines", good), lambda x: row("line", x["block_idx"], x["line_class"], of(x), x["x_size"], x["n_words"], x["text"])),
+        F.transform(F.filter("regions", lambda x: x["width_px"] == 20), lambda x: row("region", none, x["region_class"], of(x), none, x["height_px"], x["orientation"])),
+        F.array(row("page", none, none, map(F.lit, (0.0, 0.0, 100.0, 100.0)), p["scan_res_x"], p["width_px"], p["height_px"])),
+    )
+    return found.where(p["width_px"].isNotNull()).select(F.col("id").alias("page"), F.inline(parts))
 
 
 @query("S03 S04", """

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.columns import Box  # noqa: F401  re-exported for the plan modules
+from ..operators.relations import by_page
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,9 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def boxes(self) -> DataFrame:
-        return self.lineitem.selectExpr("l_orderkey * 10 + l_linenumber as id", "l_orderkey as page", "cast(l_linenumber as bigint) as col", "l_partkey", "l_suppkey", "l_quantity").groupBy("id", "page", "col").agg({"l_partkey": "min", "l_suppkey": "min", "l_quantity": "min"}).selectExpr(
+        """Boxes dealt out by page once, in parts of a bounded size: what follows on a page needs no other exchange."""
+        rows = self.lineitem.selectExpr("l_orderkey * 10 + l_linenumber as id", "l_orderkey as page", "cast(l_linenumber as bigint) as col", "l_partkey", "l_suppkey", "l_quantity")
+        return by_page(rows, "page").groupBy("id", "page", "col").agg({"l_partkey": "min", "l_suppkey": "min", "l_quantity": "min"}).selectExpr(
             "id", "page", "col", "cast(`min(l_partkey)` % 60 as double) as l", "cast((`min(l_suppkey)` * 7) % 60 as double) as t",
             "cast(`min(l_partkey)` % 60 + 8 + col * 4 as double) as r", "cast((`min(l_suppkey)` * 7) % 60 as double) + 10 + `min(l_quantity)` % 30 as b", "`min(l_quantity)` as score",
         )

@@ -10,3 +10,7 @@ def _plan(df) -> str:
 def test_survivors_need_no_join(spark, sf):
     plan = _plan(CATALOG["survivors"].run(spark, sf))
     assert "Join" not in plan and "Aggregate" in plan
+
+
+def test_hocr_documents_are_parsed_once(spark, sf):
+    assert _plan(CATALOG["hocr_relations"].run(spark, sf)).count("MapInArrow") == 1
