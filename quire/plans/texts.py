@@ -9,6 +9,7 @@ from ..operators import entities as E
 from ..operators import greedy as G
 from ..operators import mutations as K
 from ..operators import similarity as S
+from ..operators.relations import by_page
 from ..sources import envelopes, hocr, tables
 from .catalog import Tables, query
 
@@ -293,7 +294,7 @@ def html_headings(t: Tables) -> DataFrame:
 SELECT l_orderkey AS page, CAST(l_linenumber AS INTEGER) - 1 AS block, count(*) AS n_words, round(avg(l_quantity), 2) AS confidence FROM (
  SELECT DISTINCT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem) GROUP BY 1, 2""")
 def hocr_blocks(t: Tables) -> DataFrame:
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice").distinct()
+    rows = by_page(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"), "l_orderkey").distinct()
     y = F.col("l_linenumber") * 10
     word = F.concat(F.lit("<span class='ocrx_word' title='bbox 1 "), (y + 1).cast("string"), F.lit(" 9 "), (y + 8).cast("string"), F.lit("; x_wconf "), F.col("l_quantity").cast("int").cast("string"), F.lit("'>w</span>"))
     area = rows.groupBy("l_orderkey", "l_linenumber").agg(F.array_join(F.collect_list(word), "").alias("ws"))

@@ -1,6 +1,7 @@
 """Steps whose memory or work must not grow faster than the tables."""
 
 from quire.plans import CATALOG
+from quire.sources import hocr
 
 
 def _plan(df) -> str:
@@ -14,3 +15,15 @@ def test_survivors_need_no_join(spark, sf):
 
 def test_hocr_documents_are_parsed_once(spark, sf):
     assert _plan(CATALOG["hocr_relations"].run(spark, sf)).count("MapInArrow") == 1
+
+
+def test_hocr_blocks_need_no_join(spark, sf):
+    plan = _plan(CATALOG["hocr_blocks"].run(spark, sf))
+    assert "Join" not in plan and "xpath" not in plan
+
+
+def test_words_without_text_keep_the_others_in_place(spark):
+    word = "<span class='ocrx_word' title='bbox {} 1 {} 2; x_wconf {}'>{}</span>"
+    page = "<html><div class='ocr_carea' title='bbox 0 0 5 5'/><div class='ocr_carea' title='image; bbox 6 0 9 5'/>" + word.format(1, 2, 10, "") + word.format(7, 8, 21, "b") + word.format(7, 8, 20, "c") + "</html>"
+    got = hocr.blocks(spark.createDataFrame([(1, page), (2, None)], "page bigint, html string"), "page", "html").orderBy("block").collect()
+    assert [(r["block"], r["l"], r["text"], r["n_words"], r["confidence"]) for r in got] == [(0, 0.0, "", 0, 10.0), (1, 6.0, "b c", 2, 20.5)]
