@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _BOX = ["l", "t", "r", "b"]
@@ -38,6 +39,36 @@ def _whole_pages(df: DataFrame, page: str, f: Callable[[pd.DataFrame], pd.DataFr
     return df.where(df[page].isNotNull()).repartition(page).sortWithinPartitions(page).mapInPandas(run, schema)
 
 
+def _arrow_pages(df: DataFrame, page: str, f: Callable[[np.ndarray, pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Like :func:`_whole_pages` with Arrow tables: ``f`` gets where each page begins, and the end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            keys = table.column(page).to_numpy()
+            yield from f(np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]]), table)
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = batch.column(batch.schema.get_field_index(page)).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+            if held and keys[0] != held[-1].column(held[-1].schema.get_field_index(page))[-1].as_py():
+                yield from done()
+                held = []
+            if len(cuts):
+                held.append(batch.slice(0, cuts[-1]))
+                yield from done()
+                held = [batch.slice(cuts[-1])]
+            else:
+                held.append(batch)
+        if held:
+            yield from done()
+
+    return df.where(df[page].isNotNull()).repartition(page).sortWithinPartitions(page).mapInArrow(run, schema)
+
+
 def _sorted(g: pd.DataFrame, page: str, *order: np.ndarray) -> tuple[pd.DataFrame, list[slice]]:
     """The frame sorted by page, then by the given keys, and where each page lies in it."""
     g = g.iloc[np.lexsort((*reversed(order), g[page].to_numpy()))].reset_index(drop=True)
@@ -184,70 +215,144 @@ def seed_groups(boxes: DataFrame, page: str, key: str, gap: float = 3.0) -> Data
     return _whole_pages(boxes, page, run, f"{_ddl(boxes)}, group bigint")
 
 
-def union_outline(rects: np.ndarray) -> list[list[float]] | None:
-    """The closed outline of the union of rectangles, or None if it has several parts or a hole.
+def union_outlines(rects: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Closed outlines of the unions of many items' rectangles, item by item: points and how many of them each item has.
 
-    Coordinates are compressed to a grid of cells; unit edges between covered and free cells, directed with
-    the inside on their right, are joined end to end.
+    ``starts`` says where each item begins in ``rects``, and the end.  An item whose union has several parts or a hole, touches
+    itself at a corner or is empty has no points.  Coordinates are compressed to a grid of cells for each item.  A grid
+    point with one or three covered cells is a corner; sorted along a grid line, corners are the ends of its edges
+    in pairs, so the outline goes from the first corner along its row, then its column, in turn.  It is the whole outline if it
+    meets every corner.
     """
-    xs, ys = np.unique(rects[:, [0, 2]]), np.unique(rects[:, [1, 3]])
-    full = np.zeros((len(xs) + 1, len(ys) + 1), dtype=bool)
-    for l, t, r, b in rects:
-        full[np.searchsorted(xs, l) + 1 : np.searchsorted(xs, r) + 1, np.searchsorted(ys, t) + 1 : np.searchsorted(ys, b) + 1] = True
-    follow: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for i, j in zip(*np.nonzero(full), strict=True):
-        x, y = i - 1, j - 1
-        for free, a, b in ((not full[i, j - 1], (x, y), (x + 1, y)), (not full[i + 1, j] if i + 1 < len(full) else True, (x + 1, y), (x + 1, y + 1)), (not full[i, j + 1] if j + 1 < full.shape[1] else True, (x + 1, y + 1), (x, y + 1)), (not full[i - 1, j], (x, y + 1), (x, y))):
-            if free:
-                follow.setdefault(a, []).append(b)
-    if not follow or any(len(v) > 1 for v in follow.values()):
-        return None
-    start = min(follow)
-    path, at = [start], follow.pop(start)[0]
-    while at != start:
-        path.append(at)
-        at = follow.pop(at)[0]
-    if follow:
-        return None
-    n = len(path)
-    turns = [p for k, p in enumerate(path) if not (path[k - 1][0] == p[0] == path[(k + 1) % n][0] or path[k - 1][1] == p[1] == path[(k + 1) % n][1])]
-    return [[float(xs[x]), float(ys[y])] for x, y in [*turns, turns[0]]]
+    n = len(starts) - 1
+    item = np.repeat(np.arange(n), np.diff(starts))
+    solid = (rects[:, 2] > rects[:, 0]) & (rects[:, 3] > rects[:, 1])
+    rects, item = rects[solid], item[solid]
+    count = np.bincount(item, minlength=n)
+    lengths, found = np.zeros(n, dtype=np.int64), {}
+    first = np.concatenate([[0], np.cumsum(count)])
+    for k in np.unique(count[count > 0]).tolist():
+        members, side = np.flatnonzero(count == k), 2 * k + 1
+        step = max(1, 2_000_000 // side**2)
+        for at in (members[x : x + step] for x in range(0, len(members), step)):
+            points, sizes = _outlines(rects[first[at][:, None] + np.arange(k)])
+            lengths[at] = sizes
+            for i, p in zip(at[sizes > 0].tolist(), np.split(points, np.cumsum(sizes[sizes > 0])[:-1]), strict=False):
+                found[i] = p
+    return np.concatenate([found[i] for i in sorted(found)]) if found else np.empty((0, 2)), lengths
+
+
+def _compressed(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row the distinct values in order, and the places of both ends among them."""
+    both = np.concatenate([low, high], axis=1)
+    order = np.argsort(both, axis=1, kind="stable")
+    values = np.take_along_axis(both, order, axis=1)
+    rank = np.concatenate([np.zeros((len(both), 1), np.int64), np.cumsum(values[:, 1:] != values[:, :-1], axis=1)], axis=1)
+    places, distinct = np.empty_like(rank), np.zeros_like(both)
+    np.put_along_axis(places, order, rank, axis=1)
+    np.put_along_axis(distinct, rank, values, axis=1)
+    return distinct, places[:, : low.shape[1]], places[:, low.shape[1] :]
+
+
+def _outlines(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`union_outlines` of items with equally many rectangles, none empty."""
+    n, k = x.shape[:2]
+    xs, l, r = _compressed(x[..., 0], x[..., 2])
+    ys, t, b = _compressed(x[..., 1], x[..., 3])
+    depth, row = np.zeros((n, 2 * k + 1, 2 * k + 1), dtype=np.int32), np.arange(n)[:, None]
+    for i, j, sign in ((l, t, 1), (r, b, 1), (l, b, -1), (r, t, -1)):
+        np.add.at(depth, (row, i + 1, j + 1), sign)
+    full = depth.cumsum(axis=1).cumsum(axis=2) > 0
+    nw, ne, sw, se = full[:, :-1, :-1], full[:, 1:, :-1], full[:, :-1, 1:], full[:, 1:, 1:]
+    touching = ((nw == se) & (ne == sw) & (nw != ne)).any(axis=(1, 2))
+    page, cx, cy = np.nonzero((nw ^ ne ^ sw ^ se) & ~touching[:, None, None])
+    corners = np.bincount(page, minlength=n)
+    order, across = np.lexsort((cx, cy, page)), np.empty(len(page), dtype=np.int64)
+    across[order] = order[np.arange(len(page)) ^ 1]
+    begin = np.cumsum(corners) - corners
+    live = np.flatnonzero(corners)
+    at, steps, walked = begin[live], [], np.zeros(n, dtype=np.int64)
+    while len(live):
+        side = across[at]
+        steps += [(live, at), (live, side)]
+        walked[live] += 2
+        at = side ^ 1
+        more = at != begin[live]
+        live, at = live[more], at[more]
+    good = (walked == corners) & (corners > 0)
+    who, where = (np.concatenate([s[k] for s in steps]) if steps else np.empty(0, np.int64) for k in (0, 1))
+    turn = np.repeat(np.arange(len(steps)), [len(s[0]) for s in steps])
+    closing = np.flatnonzero(good)
+    who, where, turn = np.concatenate([who, closing]), np.concatenate([where, begin[closing]]), np.concatenate([turn, np.full(len(closing), len(steps))])
+    kept = good[who]
+    who, where, turn = who[kept], where[kept], turn[kept]
+    where, who = where[(order := np.lexsort((turn, who)))], who[order]
+    return np.stack([xs[who, cx[where]], ys[who, cy[where]]], axis=1), np.where(good, corners + 1, 0)
+
+
+def union_outline(rects: np.ndarray) -> list[list[float]] | None:
+    """The closed outline of the union of rectangles, or None if it has several parts or a hole."""
+    return union_outlines(np.asarray(rects, dtype=float), np.array([0, len(rects)]))[0].tolist() or None
 
 
 def outlines(boxes: DataFrame, item: str) -> DataFrame:
     """Per item the outline of its boxes' union and why there is none (``parts``: separate, touching at a corner, or a hole)."""
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g, pages = _sorted(g, item)
-        b, names, out = g[_BOX].to_numpy(float), g[item].to_numpy(), []
-        for at in pages:
-            x = b[at]
-            x = x[(x[:, 2] > x[:, 0]) & (x[:, 3] > x[:, 1])]
-            shape = union_outline(x) if len(x) else None
-            out.append([names[at.start], shape, None if shape else "parts"])
-        return pd.DataFrame(out, columns=[item, "polygon", "reason"])
+    def run(starts: np.ndarray, g: pa.Table) -> Iterator[pa.RecordBatch]:
+        points, sizes = union_outlines(np.stack([g.column(c).to_numpy().astype(float) for c in _BOX], axis=1), starts)
+        pairs = pa.ListArray.from_arrays(pa.array(np.arange(len(points) + 1, dtype=np.int32) * 2), pa.array(points.ravel()))
+        places = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.append(sizes == 0, False))
+        names = g.column(item).combine_chunks().take(pa.array(starts[:-1]))
+        yield pa.RecordBatch.from_arrays([names, pa.ListArray.from_arrays(places, pairs), pa.array(np.where(sizes > 0, None, "parts"), pa.string())], [item, "polygon", "reason"])
 
-    return _whole_pages(boxes, item, run, f"{item} {dict(boxes.dtypes)[item]}, polygon array<array<double>>, reason string")
+    return _arrow_pages(boxes, item, run, f"{item} {dict(boxes.dtypes)[item]}, polygon array<array<double>>, reason string")
 
 
 def lattice(edges: DataFrame, page: str, value: str, pitches: tuple[float, float, float] = (8.0, 20.0, 0.25), tolerance: float = 0.6) -> DataFrame:
-    """Fit evenly spaced columns: the pitch and offset whose lines most edges meet, chance agreement deducted."""
+    """Fit evenly spaced columns: the pitch and offset whose lines most edges meet, chance agreement deducted.
+
+    For one pitch the score grows with the number of edges met, so the best number of each pitch is scored, then
+    every offset of the best pitch.  The lines that a value meets are found once for each distinct value.
+    """
     grid = np.arange(*pitches)
 
     offsets = [np.arange(0, pitch, 0.25) for pitch in grid]
     pitch_of, offset_of = np.repeat(grid, [len(o) for o in offsets]), np.concatenate(offsets)
-    chance = np.minimum(1.0, 2 * tolerance / pitch_of)
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g, pages = _sorted(g, page, g[value].to_numpy())
-        xs, names, out = g[value].to_numpy(float), g[page].to_numpy(), []
-        for at in pages:
-            d = np.abs((xs[at][None] - offset_of[:, None] + pitch_of[:, None] / 2) % pitch_of[:, None] - pitch_of[:, None] / 2)
-            scores = np.round(((d <= tolerance).mean(axis=1) - chance) / np.maximum(1 - chance, 1e-9), 6)
-            k = scores.argmax()
-            out.append([names[at.start], float(pitch_of[k]), float(offset_of[k]), float(scores[k]), at.stop - at.start])
-        return pd.DataFrame(out, columns=[page, "pitch", "offset", "score", "n"])
-
-    return _whole_pages(edges, page, run, f"{page} {dict(edges.dtypes)[page]}, pitch double, offset double, score double, n bigint")
+    ends = np.concatenate([[0], np.cumsum([len(o) for o in offsets])])
+
+    def score(met: np.ndarray, n: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        return np.round((met / n - chance) / np.maximum(1 - chance, 1e-9), 6)
+
+    def counts(xs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """How many edges of each page every line meets."""
+        values, at = np.unique(xs, return_inverse=True)
+        far = np.abs((values[:, None] - offset_of + pitch_of / 2) % pitch_of - pitch_of / 2)
+        kind = np.uint8 if np.diff(starts).max() < 256 else np.int32
+        return np.add.reduceat((far <= tolerance).astype(kind)[at], starts[:-1], axis=0, dtype=kind)
+
+    def run(starts: np.ndarray, g: pa.Table) -> Iterator[pa.RecordBatch]:
+        xs, sizes = g.column(value).to_numpy().astype(float), np.diff(starts)
+        names, out, k = g.column(page).combine_chunks().take(pa.array(starts[:-1])), [], 0
+        while k < len(sizes):
+            # As many pages as have 4,096 edges together; a page of more is counted in pieces.
+            to = max(k + 1, int(np.searchsorted(starts, starts[k] + 4096, side="right")) - 1)
+            here = starts[k : to + 1]
+            if sizes[k] > 4096:
+                met = sum(counts(xs[a : min(a + 4096, here[-1])], np.array([0, min(4096, here[-1] - a)])).astype(np.int64) for a in range(here[0], here[-1], 4096))
+            else:
+                met = counts(xs[here[0] : here[-1]], here - here[0])
+            n, chance = sizes[k:to, None], np.minimum(1.0, 2 * tolerance / grid)
+            best = score(np.maximum.reduceat(met, ends[:-1], axis=1), n, chance).argmax(axis=1)
+            for p in np.unique(best).tolist():
+                rows = np.flatnonzero(best == p)
+                scores = score(met[rows, ends[p] : ends[p + 1]], n[rows], chance[p])
+                o = scores.argmax(axis=1)
+                out.append((k + rows, np.full(len(rows), grid[p]), offsets[p][o], scores[np.arange(len(rows)), o]))
+            k = to
+        at, *columns = (np.concatenate(c) for c in zip(*out, strict=True))
+        order = np.argsort(at)
+        yield pa.RecordBatch.from_arrays([names, *(pa.array(c[order]) for c in columns), pa.array(sizes.astype(np.int64))], [page, "pitch", "offset", "score", "n"])
+
+    return _arrow_pages(edges, page, run, f"{page} {dict(edges.dtypes)[page]}, pitch double, offset double, score double, n bigint")
 
 
 def flood_components(cells: DataFrame, page: str, x: str, y: str) -> DataFrame:
