@@ -1,5 +1,7 @@
 """Steps whose memory or work must not grow faster than the tables."""
 
+import numpy as np
+from quire.operators import greedy as G
 from quire.plans import CATALOG
 from quire.sources import hocr
 
@@ -27,3 +29,21 @@ def test_words_without_text_keep_the_others_in_place(spark):
     page = "<html><div class='ocr_carea' title='bbox 0 0 5 5'/><div class='ocr_carea' title='image; bbox 6 0 9 5'/>" + word.format(1, 2, 10, "") + word.format(7, 8, 21, "b") + word.format(7, 8, 20, "c") + "</html>"
     got = hocr.blocks(spark.createDataFrame([(1, page), (2, None)], "page bigint, html string"), "page", "html").orderBy("block").collect()
     assert [(r["block"], r["l"], r["text"], r["n_words"], r["confidence"]) for r in got] == [(0, 0.0, "", 0, 10.0), (1, 6.0, "b c", 2, 20.5)]
+
+
+def test_outlines_of_many_items_at_once():
+    rng = np.random.default_rng(3)
+    items = [np.stack([x := rng.integers(0, 6, (k, 2)), x + rng.integers(1, 4, (k, 2))], axis=1).reshape(k, 4).astype(float) for k in rng.integers(0, 6, 400)]
+    points, sizes = G.union_outlines(np.concatenate(items), np.concatenate([[0], np.cumsum([len(x) for x in items])]))
+    assert 50 < (sizes > 0).sum() < 400
+    for rects, shape in zip(items, np.split(points, np.cumsum(sizes)[:-1]), strict=True):
+        cells = {(x, y) for l, t, r, b in rects.astype(int) for x in range(l, r) for y in range(t, b)}
+        if len(shape):  # a closed outline holds all cells and, having no hole, no others
+            x, y = shape.T
+            assert (shape[0] == shape[-1]).all() and abs((x[:-1] * y[1:] - x[1:] * y[:-1]).sum()) == 2 * len(cells)
+
+
+def test_lattices_of_large_and_small_pages(spark):
+    rows = [(1, 5.0 + 10 * (k % 9)) for k in range(9000)] + [(p, 3.0 + 12.5 * k) for p in range(2, 40) for k in range(6)]
+    got = {r["page"]: (r["pitch"], r["score"], r["n"]) for r in G.lattice(spark.createDataFrame(rows, "page bigint, l double"), "page", "l").collect()}
+    assert got[1] == (10.0, 1.0, 9000) and all(got[p] == (12.5, 1.0, 6) for p in range(2, 40))
