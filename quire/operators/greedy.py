@@ -39,7 +39,7 @@ def _whole_pages(df: DataFrame, page: str, f: Callable[[pd.DataFrame], pd.DataFr
     return df.where(df[page].isNotNull()).repartition(page).sortWithinPartitions(page).mapInPandas(run, schema)
 
 
-def _arrow_pages(df: DataFrame, page: str, f: Callable[[np.ndarray, pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def arrow_pages(df: DataFrame, page: str, f: Callable[[np.ndarray, pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Like :func:`_whole_pages` with Arrow tables: ``f`` gets where each page begins, and the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -304,7 +304,7 @@ def outlines(boxes: DataFrame, item: str) -> DataFrame:
         names = g.column(item).combine_chunks().take(pa.array(starts[:-1]))
         yield pa.RecordBatch.from_arrays([names, pa.ListArray.from_arrays(places, pairs), pa.array(np.where(sizes > 0, None, "parts"), pa.string())], [item, "polygon", "reason"])
 
-    return _arrow_pages(boxes, item, run, f"{item} {dict(boxes.dtypes)[item]}, polygon array<array<double>>, reason string")
+    return arrow_pages(boxes, item, run, f"{item} {dict(boxes.dtypes)[item]}, polygon array<array<double>>, reason string")
 
 
 def lattice(edges: DataFrame, page: str, value: str, pitches: tuple[float, float, float] = (8.0, 20.0, 0.25), tolerance: float = 0.6) -> DataFrame:
@@ -352,7 +352,7 @@ def lattice(edges: DataFrame, page: str, value: str, pitches: tuple[float, float
         order = np.argsort(at)
         yield pa.RecordBatch.from_arrays([names, *(pa.array(c[order]) for c in columns), pa.array(sizes.astype(np.int64))], [page, "pitch", "offset", "score", "n"])
 
-    return _arrow_pages(edges, page, run, f"{page} {dict(edges.dtypes)[page]}, pitch double, offset double, score double, n bigint")
+    return arrow_pages(edges, page, run, f"{page} {dict(edges.dtypes)[page]}, pitch double, offset double, score double, n bigint")
 
 
 def flood_components(cells: DataFrame, page: str, x: str, y: str) -> DataFrame:
