@@ -2,6 +2,7 @@
 
 import numpy as np
 from quire.operators import greedy as G
+from quire.operators import similarity as S
 from quire.plans import CATALOG
 from quire.sources import hocr
 
@@ -47,3 +48,30 @@ def test_lattices_of_large_and_small_pages(spark):
     rows = [(1, 5.0 + 10 * (k % 9)) for k in range(9000)] + [(p, 3.0 + 12.5 * k) for p in range(2, 40) for k in range(6)]
     got = {r["page"]: (r["pitch"], r["score"], r["n"]) for r in G.lattice(spark.createDataFrame(rows, "page bigint, l double"), "page", "l").collect()}
     assert got[1] == (10.0, 1.0, 9000) and all(got[p] == (12.5, 1.0, 6) for p in range(2, 40))
+
+
+def test_copies_of_vectors_share_one_comparison(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(30, 16))
+    vectors = [(k, base[k % 30].tolist()) for k in range(300)] + [(1000 + k, (base[k] + 0.02 * rng.normal(size=16)).tolist()) for k in range(30)] + [(2000, [0.0] * 16), (2001, None)]
+    df = spark.createDataFrame(vectors, "id bigint, v array<double>")
+    assert S._classes(df, "id", "v").where("id = rep").count() == 60
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in vectors if i < 2000}
+    want = {(a, b) for a in unit for b in unit if a < b and unit[a] @ unit[b] >= 0.9}
+    got = [(r["id_a"], r["id_b"]) for r in S.similar_pairs(df, "id", "v", 0.9).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    exact = [(r["id_a"], r["id_b"]) for r in S.similar_pairs(df, "id", "v", 0.9, recall=1).collect()]
+    assert sorted(exact) == sorted(got)
+
+
+def test_codes_drop_no_pair_at_the_threshold():
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(400, 24)) + 1.5
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    scale = np.abs(v).max(axis=1) / 127
+    codes = np.rint(v / scale[:, None])
+    slack = np.sqrt(((v - codes * scale[:, None]) ** 2).sum(axis=1)) + 1e-6
+    starts = np.array([0, 50, 90, 400])  # small groups and a large one
+    got = [(i, j) for a, b in S._near(codes.astype(np.float32), scale, slack, starts, 0.8) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    want = {(i, j) for a, b in zip(starts[:-1], starts[1:], strict=True) for i in range(a, b) for j in range(i + 1, b) if v[i] @ v[j] >= 0.8}
+    assert len(got) == len(set(got)) and want <= set(got) and len(got) < 1.5 * len(want)
