@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from ..operators import columns as C
 from ..operators import greedy as G
 from ..operators.columns import Box
-from ..operators.relations import box_pairs, column_cover, nearest, next_below, points_in_boxes
+from ..operators.relations import box_pairs, by_page, column_cover, nearest, next_below, points_in_boxes
 from .catalog import AREA_A, AREA_B, BOXES, MEET, Tables, query
 
 _COLUMNS = "cols AS (SELECT DISTINCT page, CAST(k AS BIGINT) AS col_idx, CAST(k * 20 AS DOUBLE) AS l, CAST(k * 20 + 20 AS DOUBLE) AS r FROM boxes CROSS JOIN range(0, 5) AS g(k))"
 
 
 def _columns(t: Tables) -> DataFrame:
-    pages = t.lineitem.select(F.col("l_orderkey").alias("page")).distinct()
+    pages = by_page(t.lineitem.select(F.col("l_orderkey").alias("page")), "page").distinct()
     return pages.select("page", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k")).select("page", F.col("k").cast("bigint").alias("col_idx"), (F.col("k") * 20.0).alias("l"), (F.col("k") * 20.0 + 20).alias("r"))
 
 
