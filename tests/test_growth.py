@@ -2,6 +2,7 @@
 
 import numpy as np
 from quire.operators import greedy as G
+from quire.operators import relations
 from quire.operators import similarity as S
 from quire.plans import CATALOG
 from quire.sources import hocr
@@ -75,3 +76,17 @@ def test_codes_drop_no_pair_at_the_threshold():
     got = [(i, j) for a, b in S._near(codes.astype(np.float32), scale, slack, starts, 0.8) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
     want = {(i, j) for a, b in zip(starts[:-1], starts[1:], strict=True) for i in range(a, b) for j in range(i + 1, b) if v[i] @ v[j] >= 0.8}
     assert len(got) == len(set(got)) and want <= set(got) and len(got) < 1.5 * len(want)
+
+
+def test_parts_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(relations, "PART_ROWS", 10)
+    monkeypatch.setattr(relations, "LEAST_ROWS", 5)
+    parts = lambda n: relations.by_page(spark.range(n).withColumnRenamed("id", "page"), "page").rdd.getNumPartitions()
+    assert [parts(n) for n in (0, 5, 20, 400)] == [1, 1, 4, 40]
+
+
+def test_boxes_of_a_page_are_dealt_out_once(spark, sf, monkeypatch):
+    monkeypatch.setattr(relations, "LEAST_ROWS", 1000)
+    for name, exchanges in (("column_signals", 2), ("horizontal_alignments", 1)):
+        plan = CATALOG[name].run(spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == exchanges, plan
