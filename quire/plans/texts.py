@@ -348,7 +348,7 @@ _DOT = "(list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS D
 @query("J20", f"""
 SELECT a.vec_id AS id_a, b.vec_id AS id_b, round({_DOT}, 4) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND {_DOT} >= 0.9""")
 def similar_embeddings(t: Tables) -> DataFrame:
-    return S.similar_pairs(t.embeddings, "vec_id", "embedding", 0.9)
+    return S.similar_pairs(t.embeddings, "vec_id", "embedding", 0.9, keep=_keep)
 
 
 @query("J21 A58", f"""

@@ -5,7 +5,7 @@ from quire.operators import greedy as G
 from quire.operators import relations
 from quire.operators import similarity as S
 from quire.plans import CATALOG
-from quire.sources import hocr
+from quire.sources import hocr, scratch
 
 
 def _plan(df) -> str:
@@ -78,6 +78,58 @@ def test_codes_drop_no_pair_at_the_threshold():
     assert len(got) == len(set(got)) and want <= set(got) and len(got) < 1.5 * len(want)
 
 
+def test_clusters_of_near_copies_store_no_pairs_of_all(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(3, 32))
+    v = np.concatenate([np.repeat(base, 400, axis=0) * rng.uniform(1, 2, (1200, 1)) + 0.05 * rng.normal(size=(1200, 32)), rng.normal(size=(300, 32))])
+    # A chain of steps whose angles lie about the threshold, so that codes alone cannot tell.
+    at = np.cumsum(rng.uniform(-0.006, 0.006, 40) + np.arccos(0.9))
+    chain = np.cos(at)[:, None] * np.eye(32)[0] + np.sin(at)[:, None] * np.eye(32)[1]
+    v = np.concatenate([v, chain * 3])
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    near, want = unit @ unit.T >= 0.9, np.arange(len(v))
+    while not np.array_equal(now := np.where(near, want[None], len(v)).min(axis=1), want):
+        want = now
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "id bigint, v array<double>")
+    stored: dict[str, int] = {}
+
+    def keep(part, name):
+        part = scratch.stored(part, name)
+        stored[name] = part.count()
+        return part
+
+    got = {r["id"]: r["cluster"] for r in S.clusters(df, "id", "v", 0.9, keep).collect()}
+    assert got == dict(enumerate(want.tolist()))
+    assert stored and max(stored.values()) < 20 * len(v), stored
+
+
+def test_keys_of_a_vector_do_not_grow_with_the_table(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    hashed, seen = S._hashed, {}
+    for n in (100, 20_000):
+        df = spark.createDataFrame([(k, x) for k, x in enumerate(rng.normal(size=(n, 8)).tolist())], "id bigint, v array<double>")
+        monkeypatch.setattr(S, "_hashed", lambda *a: seen.setdefault(n, hashed(*a)))  # noqa: B023
+        S.similar_pairs(df, "id", "v", 0.9)
+        seen[n] = seen[n].count() / n
+    assert seen[100] == seen[20_000]
+
+
+def test_very_large_groups_are_divided(monkeypatch):
+    rng = np.random.default_rng(10)
+    v = rng.normal(size=(3000, 32)) + 0.5
+    v[1500:] = v[:1500] + 0.35 * rng.normal(size=(1500, 32))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    scale = np.abs(v).max(axis=1) / 127
+    codes = np.rint(v / scale[:, None])
+    slack = np.sqrt(((v - codes * scale[:, None]) ** 2).sum(axis=1)) + 1e-6
+    want = {(i, j) for i, j in zip(*np.nonzero(np.triu(v @ v.T >= 0.9, 1)), strict=True)}
+    monkeypatch.setattr(S, "BLOCK", 250)
+    for split in (10_000, 500):
+        monkeypatch.setattr(S, "SPLIT", split)
+        got = {(i, j) for a, b in S._near(codes.astype(np.float32), scale, slack, np.array([0, 3000]), 0.9) for i, j in zip(a.tolist(), b.tolist(), strict=True)}
+        assert len(want) > 1000 and len(want & got) >= (0.97 if split == 500 else 1) * len(want) and len(got) < 2 * len(want)
+
+
 def test_parts_grow_with_the_rows(spark, monkeypatch):
     monkeypatch.setattr(relations, "PART_ROWS", 10)
     monkeypatch.setattr(relations, "LEAST_ROWS", 5)
