@@ -142,3 +142,9 @@ def test_boxes_of_a_page_are_dealt_out_once(spark, sf, monkeypatch):
     for name, exchanges in (("column_signals", 2), ("horizontal_alignments", 1)):
         plan = CATALOG[name].run(spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == exchanges, plan
+
+
+def test_coverage_needs_no_other_exchange_than_by_page(spark, sf, monkeypatch):
+    monkeypatch.setattr(relations, "LEAST_ROWS", 1000)
+    plan = CATALOG["coverage_bins"].run(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
