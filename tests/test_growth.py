@@ -148,3 +148,11 @@ def test_coverage_needs_no_other_exchange_than_by_page(spark, sf, monkeypatch):
     monkeypatch.setattr(relations, "LEAST_ROWS", 1000)
     plan = CATALOG["coverage_bins"].run(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_boxes_deal_out_plain_columns_only(spark, sf):
+    for name, width in (("horizontal_alignments", 4), ("coverage_bins", 3)):
+        plan = CATALOG[name].run(spark, sf)._jdf.queryExecution().optimizedPlan()
+        dealt = [line.strip(" +-:") for line in plan.toString().splitlines()]
+        below = dealt[next(k for k, line in enumerate(dealt) if line.startswith("RepartitionByExpression")) + 1]
+        assert below.startswith("Project [l_orderkey") and below.count("#") == width, below
