@@ -12,16 +12,23 @@ from .columns import Box, centre_inside, iou, overlap_share, shared_area
 
 #: Most rows of a part that :func:`by_page` deals out, on average, and how few are worth a part.
 PART_ROWS, LEAST_ROWS = 250_000, 20_000
+#: The same for light work, once there would be more parts than a task can write without sorting its rows in memory.
+LIGHT_ROWS = 1_250_000
 
 
-def by_page(df: DataFrame, page: str) -> DataFrame:
+def by_page(df: DataFrame, page: str, light: bool = False) -> DataFrame:
     """Rows dealt out by page into parts whose number grows with the rows, so that no task grows with the table.
 
     Grouping, windows and joins on the page, alone or with other columns, need no further exchange.  Shuffles of a fixed
     number of parts grow with the table instead, and partial sums of keys that seldom repeat only fill memory.
+    A task that writes more than ``spark.shuffle.sort.bypassMergeThreshold`` parts sorts the rows of its input split in
+    memory; ``light`` work, which needs little memory a row, takes larger parts first.
     """
     rows, usual = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(1, min(-(-rows // LEAST_ROWS), max(usual, -(-rows // PART_ROWS)))), page)
+    parts = max(usual, -(-rows // PART_ROWS))
+    if light:
+        parts = min(parts, max(int(df.sparkSession.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200")), -(-rows // LIGHT_ROWS)))
+    return df.repartition(max(1, min(-(-rows // LEAST_ROWS), parts)), page)
 
 
 def latest_all(df: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
@@ -136,9 +143,15 @@ def peaks(df: DataFrame, keys: Sequence[str], value: str, weight: str, width: fl
 
 
 def coverage(df: DataFrame, keys: Sequence[str], low: str, high: str, bin_width: float) -> DataFrame:
-    """How many intervals touch each bin."""
-    span = F.sequence(F.floor(F.col(low) / bin_width), F.greatest(F.floor(F.col(low) / bin_width), F.floor(F.col(high) / bin_width)))
-    return df.select(*keys, F.explode(span).alias("bin")).groupBy(*keys, "bin").agg(F.count("*").alias("n"))
+    """How many intervals touch each bin; those that lack an end, or end in a bin before their first, touch none.
+
+    First bins and ends are counted up and down in order, two rows an interval; bins are listed last, so no table of them is held.
+    """
+    first, last = F.floor(F.col(low) / bin_width), F.floor(F.col(high) / bin_width)
+    steps = df.where(last >= first).select(*keys, F.stack(F.lit(2), first, F.lit(1), last + 1, F.lit(-1)).alias("_at", "_step"))
+    order = Window.partitionBy(*keys).orderBy("_at")
+    runs = steps.select(*keys, "_at", F.sum("_step").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("n"), F.lead("_at").over(order).alias("_next"))
+    return runs.where("n > 0 and _next > _at").select(*keys, F.explode(F.sequence("_at", F.col("_next") - 1)).alias("bin"), "n")
 
 
 def uncovered_gaps(df: DataFrame, keys: Sequence[str], low: str, high: str) -> DataFrame:

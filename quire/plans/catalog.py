@@ -31,12 +31,12 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def boxes(self) -> DataFrame:
+    def boxes(self, light: bool = False) -> DataFrame:
         """Boxes dealt out by page once, in parts of a bounded size: what follows on a page needs no other exchange.
 
         Only plain columns of the table are dealt out, since a task that writes a shuffle of many parts sorts all its rows in memory.
         """
-        rows = by_page(self.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"), "l_orderkey")
+        rows = by_page(self.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"), "l_orderkey", light)
         return rows.selectExpr("l_orderkey as page", "cast(l_linenumber as bigint) as col", "l_partkey", "l_suppkey", "l_quantity").groupBy("page", "col").agg({"l_partkey": "min", "l_suppkey": "min", "l_quantity": "min"}).selectExpr(
             "page * 10 + col as id", "page", "col", "cast(`min(l_partkey)` % 60 as double) as l", "cast((`min(l_suppkey)` * 7) % 60 as double) as t",
             "cast(`min(l_partkey)` % 60 + 8 + col * 4 as double) as r", "cast((`min(l_suppkey)` * 7) % 60 as double) + 10 + `min(l_quantity)` % 30 as b", "`min(l_quantity)` as score",

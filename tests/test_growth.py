@@ -156,3 +156,24 @@ def test_boxes_deal_out_plain_columns_only(spark, sf):
         dealt = [line.strip(" +-:") for line in plan.toString().splitlines()]
         below = dealt[next(k for k, line in enumerate(dealt) if line.startswith("RepartitionByExpression")) + 1]
         assert below.startswith("Project [l_orderkey") and below.count("#") == width, below
+
+
+def test_coverage_of_odd_intervals_holds_no_bins(spark):
+    ends = [None, -17.0, -0.5, 0.0, 4.0, 5.0, 9.0, 26.0]
+    rows = [(p, a, b) for p in (1, None) for a in ends for b in ends] + [(2, 3.0, 3.0), (3, 9.0, 5.0), (4, 12.0, 2.0), (5, None, None), (6, 0.0, 4.9), (6, 20.0, 24.0), (6, 5.0, 5.0)]
+    want: dict[tuple, int] = {}
+    for p, a, b in rows:
+        for k in range(int(a // 5), int(b // 5) + 1) if a is not None and b is not None else ():
+            want[p, k] = want.get((p, k), 0) + 1
+    df = relations.coverage(spark.createDataFrame(rows, "page bigint, l double, r double"), ["page"], "l", "r", 5.0)
+    got = [((r["page"], r["bin"]), r["n"]) for r in df.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    assert "Aggregate" not in _plan(df)
+
+
+def test_light_work_takes_larger_parts_instead_of_sorting_what_is_written(spark, monkeypatch):
+    monkeypatch.setattr(relations, "PART_ROWS", 10)
+    monkeypatch.setattr(relations, "LEAST_ROWS", 5)
+    monkeypatch.setattr(relations, "LIGHT_ROWS", 40)
+    parts = lambda n: relations.by_page(spark.range(n).withColumnRenamed("id", "page"), "page", light=True).rdd.getNumPartitions()
+    assert [parts(n) for n in (0, 20, 400, 2000, 2010, 8000, 8040)] == [1, 4, 40, 200, 200, 200, 201]
